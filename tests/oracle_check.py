@@ -17,6 +17,9 @@ TABLES = (
 ).split()
 
 
+KIND = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+
+
 def duck(base: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -57,6 +60,10 @@ def compare(spark, con, name, fn, text, base):
     want_rows = cursor.fetchall()
     if sorted(df.columns) != sorted(want_names):
         return f"columns {sorted(set(df.columns) ^ set(want_names))[:6]}", took, len(got_rows)
+    kinds = {d[0]: KIND.get(str(d[1]), str(d[1])) for d in cursor.description}
+    wrong = [(n, t, kinds[n]) for n, t in df.dtypes if kinds[n] != t]
+    if wrong:
+        return f"types {wrong[:6]}", took, len(got_rows)
     order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
     worder = sorted(range(len(want_names)), key=lambda i: want_names[i])
     got = sorted((tuple(plain(r[i]) for i in order) for r in got_rows), key=key)
