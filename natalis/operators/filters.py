@@ -45,7 +45,18 @@ def common_race(df: DataFrame, levels: Sequence[str] = COMMON_RACES) -> DataFram
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(columns))
+    """Rows without NULL (or NaN) in the columns.
+
+    One conjunct per column: a single predicate over many computed columns, as ``dropna`` makes it, grows
+    exponentially when the optimizer rewrites it through their aliases.
+    """
+    kinds = dict(df.dtypes)
+    for name in columns:
+        column = F.col(f"`{name}`")
+        df = df.filter(column.isNotNull())
+        if kinds[name] in ("double", "float"):
+            df = df.filter(~F.isnan(column))
+    return df
 
 
 def visits_between(

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natalis.functions.columns import logistic
+from natalis.operators.filters import complete_rows
 from natalis.operators.hypothesis import likelihood_ratio, wald_table
 from natalis.sources.store import cut_lineage
 
@@ -257,7 +258,8 @@ def fit_mixed(
     checked, as the driver holds a short row for each.
     """
     expanded, names = expand_terms(df, terms)
-    used = expanded.select(group, outcome, *[F.col(f"`{t}`").cast("double").alias(t) for t in names]).dropna()
+    used = expanded.select(group, outcome, *[F.col(f"`{t}`").cast("double").alias(t) for t in names])
+    used = complete_rows(used, used.columns)
     keys = [group, *[f"`{t}`" for t in names]]
     table = cut_lineage(
         used.groupBy(*keys).agg(F.sum(F.col(outcome).cast("double")).alias("s"), F.count("*").cast("double").alias("n"))
@@ -370,7 +372,7 @@ def compare_nested(
     rows = []
     for label, outcome in outcomes.items():
         needed = [outcome, group, *dict.fromkeys(p for t in (*reduced, *full) for p in t.split("*"))]
-        complete = df.select(*needed).dropna()
+        complete = complete_rows(df.select(*needed), needed)
         small, large = fit_mixed(complete, outcome, reduced, group), fit_mixed(complete, outcome, full, group)
         rows.append((label, small.loglik, large.loglik, large.n_parameters - small.n_parameters))
     return likelihood_ratio(

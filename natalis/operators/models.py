@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from natalis.functions.columns import flag, hash_uniform, linear, logistic, ratio
+from natalis.operators.filters import complete_rows
 from natalis.operators.metrics import auc, classification_report, confusion_matrix, macro_scores
 from natalis.operators.ordering import number_rows
 
@@ -34,7 +35,7 @@ def with_split(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 42
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = FEATURES) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df.dropna(subset=list(features)))
+    return VectorAssembler(inputCols=list(features), outputCol=out).transform(complete_rows(df, features))
 
 
 def patterns(df: DataFrame, columns: Sequence[str], weight: str | None = None, out: str = "n") -> DataFrame:
@@ -43,7 +44,7 @@ def patterns(df: DataFrame, columns: Sequence[str], weight: str | None = None, o
     Indicator data has far fewer combinations than rows, every likelihood here depends on the rows only
     through these counts, and the count combines map-side. Rows with a missing value are left out.
     """
-    rows = df.dropna(subset=list(columns))
+    rows = complete_rows(df, columns)
     total = F.sum(weight) if weight else F.count("*")
     return rows.groupBy(*columns).agg(total.cast("double").alias(out))
 
@@ -247,7 +248,7 @@ def permutation_importance(
     and a row receives the value of the row next in that order.
     """
     features = list(features or fit.weights)
-    rows = df.select(key, target, *fit.weights).dropna()
+    rows = complete_rows(df.select(key, target, *fit.weights), [target, *fit.weights])
     numbered = number_rows(rows, key, out="_no", seed=seed)
     total = rows.count()
     donors = numbered.select(

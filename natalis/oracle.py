@@ -282,19 +282,6 @@ def _paired(a: str, b: str) -> str:
     return sql(text, "history")
 
 
-def _smd(columns, treated: str, source: str, weight: str | None = None) -> str:
-    """Long table of means, variances of the treated group and standardised mean differences."""
-    w = weight or "1.0"
-    return " UNION ALL ".join(
-        f"SELECT '{c}' AS covariate, {r6('m1')} AS mean_treated, {r6('m0')} AS mean_control, "
-        f"{r6('CASE WHEN s1 > 0 THEN (m1 - m0) / s1 END')} AS smd FROM (SELECT "
-        f"sum({c} * {w}) FILTER ({treated} = 1) / sum({w}) FILTER ({treated} = 1) AS m1, "
-        f"sum({c} * {w}) FILTER ({treated} = 0) / sum({w}) FILTER ({treated} = 0) AS m0, "
-        f"stddev_samp({c}) FILTER ({treated} = 1) AS s1 FROM {source})"
-        for c in columns
-    )
-
-
 def core_texts() -> dict[str, str]:
     out: dict[str, str] = {}
     flags = "(delivery_record_only = 1 OR number_given_birth = 1 OR pregnancy = 1)"
@@ -623,5 +610,130 @@ def core_texts() -> dict[str, str]:
     return out
 
 
+RISK_POINTS = (
+    "CAST(age + 3 * total_visits + 4 * race_White + "
+    "6 * OBESITY_1y_during_1y_prior_to_1st_delivery_indicator AS DOUBLE)"
+)
+ECDF_COLUMNS = ("age", "total_visits", "race_White", "total_number_of_COVID_vaccine_doses")
+
+
+def _observed_moments(target: str, features, source: str, where: str) -> str:
+    rows = [f"SELECT '(Intercept)' AS term, {r6(f'sum({target})', 1)} AS moment FROM {source} WHERE {where}"]
+    rows += [
+        f"SELECT '{f}' AS term, {r6(f'sum({target} * {f})', 1)} AS moment FROM {source} WHERE {where}" for f in features
+    ]
+    return " UNION ALL ".join(rows)
+
+
+def _ecdf(column: str) -> str:
+    t = cl.EXPOSURE
+    gaps = (
+        f"SELECT abs((SELECT count(*) FILTER ({t} = 1 AND m.{column} <= v.x) / count(*) FILTER ({t} = 1) FROM modelled m) - "
+        f"(SELECT count(*) FILTER ({t} = 0 AND m.{column} <= v.x) / count(*) FILTER ({t} = 0) FROM modelled m)) AS gap "
+        f"FROM (SELECT DISTINCT {column} AS x FROM modelled) v"
+    )
+    return (
+        f"SELECT '{column}' AS covariate, {r6('CASE WHEN count(*) <= 2 THEN max(gap) ELSE avg(gap) END')} AS ecdf_mean, "
+        f"{r6('max(gap)')} AS ecdf_max FROM ({gaps})"
+    )
+
+
+_STRATA = (
+    "strata AS (SELECT race_White, OBESITY_1y_during_1y_prior_to_1st_delivery_indicator, "
+    f"avg({cl.EXPOSURE}) AS distance FROM modelled GROUP BY 1, 2), "
+    f"weighted AS (SELECT *, CASE WHEN {cl.EXPOSURE} = 1 THEN 1 / distance ELSE 1 / (1 - distance) END AS w "
+    "FROM modelled JOIN strata USING (race_White, OBESITY_1y_during_1y_prior_to_1st_delivery_indicator))"
+)
+
+
+def _weighted_mean(column: str, level: int, weight: str) -> str:
+    here = f"FILTER ({cl.EXPOSURE} = {level})"
+    return f"sum({column} * {weight}) {here} / sum({weight}) {here}"
+
+
+def _balance(column: str, stage: str) -> str:
+    weight = "1.0" if stage == "before" else "w"
+    binary = column not in ("age", "total_visits", "total_number_of_COVID_vaccine_doses")
+    p = f"avg({column}) FILTER ({cl.EXPOSURE} = 1)"
+    sd = f"sqrt({p} * (1 - {p}))" if binary else f"stddev_samp({column}) FILTER ({cl.EXPOSURE} = 1)"
+    return (
+        f"SELECT '{column}' AS covariate, '{stage}' AS stage, {r6('m1')} AS mean_treated, {r6('m0')} AS mean_control, "
+        f"{r6('(m1 - m0) / sd')} AS smd, {r6('abs((m1 - m0) / sd)')} AS abs_smd, abs((m1 - m0) / sd) < 0.1 AS ok FROM "
+        f"(SELECT {_weighted_mean(column, 1, weight)} AS m1, {_weighted_mean(column, 0, weight)} AS m0, {sd} AS sd "
+        "FROM weighted)"
+    )
+
+
+def model_texts() -> dict[str, str]:
+    out: dict[str, str] = {}
+    lung = [c for c in cl.COMORBIDITIES if c != cl.LUNG] + [cl.MORTALITY, "sex_privilege", "race_privilege", "age"]
+    out["lr_lung"] = sql(_observed_moments(cl.LUNG, lung, "flagged_groups", "true"), "flagged_groups")
+    death = [*cl.COMORBIDITIES, "sex_privilege", "race_privilege", "age"]
+    out["lr_mortality"] = sql(
+        _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"
+    )
+    out["propensity"] = sql(_observed_moments(cl.EXPOSURE, cl.MATCH_COVARIATES, "modelled", "true"), "modelled")
+    out["leakage_table"] = sql(
+        "SELECT y_pred, n_0, n_1, CAST(n_1 > n_0 AS INT) AS best_guess, "
+        f"{r6('greatest(n_0, n_1) / (n_0 + n_1)')} AS guess_accuracy FROM (SELECT y_pred, count(*) FILTER "
+        "(race_privilege = 0) AS n_0, count(*) FILTER (race_privilege = 1) AS n_1 FROM scored GROUP BY y_pred)",
+        "scored",
+    )
+    biggest = "SELECT {by}, max(count(*)) OVER () AS n FROM {source} GROUP BY {by}"
+    out["smote"] = sql(biggest.format(by=cl.LUNG, source="flagged_groups"), "flagged_groups")
+    out["smote_by_group"] = sql(
+        biggest.format(by=f"{cl.LUNG}, race_privilege", source="flagged_groups"), "flagged_groups"
+    )
+    out["smote_embeddings"] = biggest.format(by="label", source="embeddings")
+    stages = []
+    for stage, column in (("before", "y_pred"), ("after", "CAST(score >= 0.6 AS INT)")):
+        cells = (
+            f"SELECT race_privilege, y, {column} AS p FROM scored"
+        )
+        rates = (
+            "SELECT race_privilege, avg(p) AS ppp, avg(p) FILTER (y = 1) AS tpr, avg(p) FILTER (y = 0) AS fpr "
+            f"FROM ({cells}) GROUP BY 1"
+        )
+        stages.append(
+            f"SELECT '{stage}' AS stage, count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 0 AND p = 1) AS fp, "
+            "count(*) FILTER (y = 1 AND p = 0) AS fn, count(*) FILTER (y = 1 AND p = 1) AS tp, "
+            f"{r6('avg(CAST(y = p AS INT))')} AS accuracy, "
+            f"(SELECT {r6('max(ppp) - min(ppp)')} FROM ({rates})) AS demographic_parity_difference, "
+            f"(SELECT {r6('greatest(max(tpr) - min(tpr), max(fpr) - min(fpr))')} FROM ({rates})) AS "
+            f"equalized_odds_difference FROM ({cells})"
+        )
+    out["before_after"] = sql(" UNION ALL ".join(stages), "scored")
+    base = sql("", "modelled").strip().replace("WITH ", "WITH RECURSIVE ", 1)
+    out["match_allocation"] = (
+        f"{base}, units AS (SELECT person_id AS id, {cl.EXPOSURE} AS t, {RISK_POINTS} AS s FROM modelled), "
+        "treated AS (SELECT id, s, row_number() OVER (ORDER BY s DESC, id) AS i FROM units WHERE t = 1), "
+        "controls AS (SELECT list({'s': s, 'id': id} ORDER BY s, id) AS free FROM units WHERE t = 0), "
+        "steps AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS DOUBLE) AS ts, CAST(NULL AS DOUBLE) AS cs, free FROM controls "
+        "UNION ALL SELECT t.i, t.s, c.best.s, list_filter(p.free, lambda x: x.id <> c.best.id) FROM steps p "
+        "JOIN treated t ON t.i = p.i + 1, LATERAL (SELECT list_reduce(p.free, lambda a, b: CASE WHEN abs(b.s - t.s) < "
+        "abs(a.s - t.s) THEN b ELSE a END) AS best) c WHERE len(p.free) > 0) "
+        "SELECT ts AS treated_score, cs AS control_score, count(*) AS n_pairs FROM steps WHERE i > 0 GROUP BY 1, 2"
+    )
+    matched = f"least(count(*) FILTER ({cl.EXPOSURE} = 1), count(*) FILTER ({cl.EXPOSURE} = 0))"
+    sides = {"treated": f"count(*) FILTER ({cl.EXPOSURE} = 1)", "control": f"count(*) FILTER ({cl.EXPOSURE} = 0)"}
+    out["match_sizes"] = sql(
+        f"SELECT 'all' AS stage, {', '.join(f'{n} AS {k}' for k, n in sides.items())} FROM modelled UNION ALL "
+        f"SELECT 'matched', {matched}, {matched} FROM modelled UNION ALL "
+        f"SELECT 'unmatched', {', '.join(f'{n} - {matched}' for n in sides.values())} FROM modelled",
+        "modelled",
+    )
+    out["ecdf_distances"] = sql(" UNION ALL ".join(_ecdf(c) for c in ECDF_COLUMNS), "modelled")
+    weighted = sql("", "modelled").strip() + ", " + _STRATA
+    out["balance_table"] = f"{weighted} " + " UNION ALL ".join(
+        _balance(c, stage) for stage in ("before", "after") for c in cl.MATCH_COVARIATES
+    )
+    out["ipw_rates"] = f"{weighted} " + " UNION ALL ".join(
+        f"SELECT '{o}' AS outcome, {r6('a')} AS rate_exposed, {r6('b')} AS rate_unexposed, {r6('a - b')} AS difference FROM "
+        f"(SELECT {_weighted_mean(o, 1, 'w')} AS a, {_weighted_mean(o, 0, 'w')} AS b FROM weighted)"
+        for o in cl.OUTCOMES.values()
+    )
+    return out
+
+
 def texts() -> dict[str, str]:
-    return core_texts()
+    return {**core_texts(), **model_texts()}

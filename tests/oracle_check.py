@@ -17,7 +17,7 @@ TABLES = (
 ).split()
 
 
-KIND = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+KIND = {"BOOLEAN": "boolean", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
 
 
 def duck(base: str):
@@ -83,6 +83,7 @@ def main(base: str, only: list[str]) -> int:
     from natalis.session import local_session
 
     spark = local_session()
+    spark.sparkContext.setLogLevel("OFF")
     con = duck(base)
     texts, bad = e.oracle_sql(), 0
     for name, fn in e.queries().items():
