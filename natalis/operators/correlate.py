@@ -50,7 +50,7 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = Non
     var_x = F.greatest(n * F.col("sxx") - F.col("sx") * F.col("sx"), F.lit(0.0))
     var_y = F.greatest(n * F.col("syy") - F.col("sy") * F.col("sy"), F.lit(0.0))
     r = F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y))
-    r = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+    r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
     return pair_moments(df, columns).select(
         names[F.col("i")].alias("feature_a"),
         names[F.col("j")].alias("feature_b"),

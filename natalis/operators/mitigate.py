@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from natalis.functions.columns import hash_uniform
 from natalis.operators.metrics import roc_points
-from natalis.operators.models import LinearFit, patterns
+from natalis.operators.linear import LinearFit
+from natalis.operators.models import patterns
 from natalis.operators.newton import ridge_grid
 from natalis.sources.store import cut_lineage
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -21,10 +22,13 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.functions.columns import flag, hash_uniform, linear, logistic, ratio
+from natalis.functions.columns import flag, hash_uniform, ratio
 from natalis.operators.filters import complete_rows
+from natalis.operators.linear import LinearFit
 from natalis.operators.metrics import auc, classification_report, confusion_matrix, macro_scores
+from natalis.operators.newton import ridge_grid
 from natalis.operators.ordering import number_rows
+from natalis.sources.store import cut_lineage
 
 FEATURES = "features"
 
@@ -49,34 +53,6 @@ def patterns(df: DataFrame, columns: Sequence[str], weight: str | None = None, o
     return rows.groupBy(*columns).agg(total.cast("double").alias(out))
 
 
-@dataclass
-class LinearFit:
-    """A fitted linear classifier that scores rows by a generated expression, without vectors."""
-
-    intercept: float
-    weights: Mapping[str, float]
-    std_errors: Mapping[str, float] = field(default_factory=dict)
-
-    def eta(self) -> Column:
-        return linear(self.weights, self.intercept)
-
-    def probability(self) -> Column:
-        return logistic(self.eta())
-
-    def transform(self, df: DataFrame, prediction: str = "y_pred", probability: str | None = "score") -> DataFrame:
-        """Add the predicted class (probability above one half) and the probability."""
-        columns = {prediction: F.when(self.eta() > 0, 1).when(self.eta() <= 0, 0)}
-        if probability:
-            columns[probability] = self.probability()
-        return df.withColumns(columns)
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = [("(Intercept)", self.intercept, self.std_errors.get("(Intercept)"))]
-        rows += [(k, v, self.std_errors.get(k)) for k, v in self.weights.items()]
-        rows = [(k, float(v), None if s is None else float(s)) for k, v, s in rows]
-        return spark.createDataFrame(rows, "term string, estimate double, std_error double")
-
-
 def ridge_logistic(
     df: DataFrame,
     features: Sequence[str],
@@ -85,14 +61,24 @@ def ridge_logistic(
     c: float = 1.0,
     max_iter: int = 1000,
     tol: float = 1e-6,
+    newton_width: int = 300,
 ) -> LinearFit:
     """Logistic regression with the penalty ``|w|² / 2`` against ``c`` times the summed loss.
 
-    MLlib averages the loss over the summed weight, so that its ``regParam`` is 1 / (c · total weight);
-    the penalty is on the raw scale and leaves the intercept free.
+    Up to ``newton_width`` features a fit takes a handful of Newton passes. Wider ones go to MLlib's
+    L-BFGS, which keeps only vectors: MLlib averages the loss over the summed weight, so that its
+    ``regParam`` is 1 / (c · total weight), the penalty on the raw scale and the intercept free.
     """
-    total = df.agg(F.sum(weight) if weight else F.count("*")).first()[0]
-    rows = assemble(df.select(*features, target, *([weight] if weight else [])), features)
+    columns = [*features, target, *([weight] if weight else [])]
+    rows = complete_rows(df.select(*columns), columns)
+    if len(features) <= newton_width:
+        cells = rows.select(
+            *features,
+            F.col(target).cast("int").alias("cell"),
+            (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("n"),
+        )
+        return ridge_grid(cut_lineage(cells), features, np.array([[0.0, 1.0]]), np.ones((1, 2)), c)[0]
+    total = rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
     model = LogisticRegression(
         featuresCol=FEATURES,
         labelCol=target,
@@ -102,7 +88,7 @@ def ridge_logistic(
         elasticNetParam=0.0,
         standardization=False,
         **({"weightCol": weight} if weight else {}),
-    ).fit(rows)
+    ).fit(assemble(rows, features))
     return LinearFit(float(model.intercept), dict(zip(features, (float(x) for x in model.coefficients))))
 
 

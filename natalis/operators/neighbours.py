@@ -53,6 +53,11 @@ def nearest(points: DataFrame, k: int, max_pivots: int = 512, seed: int = 42) ->
     """Rows (pid, nid, d2, rank) for a table (pid long, x array<double>) with unique ``pid``."""
     points = points.select("pid", "x")
     total = points.count()
+    ranked = Window.partitionBy("pid").orderBy("d2", "nid")
+    if total <= _BLOCK:
+        one = points.withColumn("block", F.lit(0)).groupBy("block")
+        best = one.applyInPandas(lambda p: _top_k(p, p, k), "pid long, nid long, d2 double")
+        return best.withColumn("rank", F.row_number().over(ranked))
     n_pivots = int(min(max_pivots, max(1, np.sqrt(total) // 8)))
     chosen = points.orderBy(F.xxhash64("pid", F.lit(seed)), "pid").limit(n_pivots).collect()
     pivots = np.array([r["x"] for r in chosen])
@@ -130,5 +135,4 @@ def nearest(points: DataFrame, k: int, max_pivots: int = 512, seed: int = 42) ->
         .cogroup(members.groupBy(*keys))
         .applyInPandas(lambda q, m: _top_k(q, m, k), "pid long, nid long, d2 double")
     )
-    ranked = Window.partitionBy("pid").orderBy("d2", "nid")
     return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)

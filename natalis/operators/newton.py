@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natalis.operators.models import LinearFit
+from natalis.operators.linear import LinearFit
 
 
 def _pass(table: DataFrame, features: Sequence[str], betas: np.ndarray, label: np.ndarray, factor: np.ndarray):
