@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natalis.functions.columns import ratio
@@ -17,38 +17,36 @@ def _moments(df: DataFrame, treated: str, covariates: Sequence[str], weight: str
     The variance of a 0/1 covariate is p(1 - p); otherwise it is the sample variance, in the weighted
     case with the reliability-weight correction.
     """
-    w = F.col(weight) if weight else F.lit(1.0)
+    w = f"CAST(`{weight}` AS DOUBLE)" if weight else "1.0D"
+    names = ["other"] + [f"{kind}{g}" for g in (0, 1) for kind in ("w", "ww", "wx", "wxx", "vp")]
     sums = []
     for i, c in enumerate(covariates):
-        x = F.col(c).cast("double")
-        sums.append(F.count_if(x.isNotNull() & ~x.isin(0.0, 1.0)).alias(f"other{i}"))
+        x = f"CAST(`{c}` AS DOUBLE)"
+        texts = [f"CAST(count_if({x} NOT IN (0.0D, 1.0D)) AS DOUBLE)"]
         for g in (0, 1):
-            here = (F.col(treated) == g) & x.isNotNull()
-            sums += [
-                F.sum(F.when(here, w)).alias(f"w{g}_{i}"),
-                F.sum(F.when(here, w * w)).alias(f"ww{g}_{i}"),
-                F.sum(F.when(here, w * x)).alias(f"wx{g}_{i}"),
-                F.var_pop(F.when(here, x)).alias(f"vp{g}_{i}"),
-                F.sum(F.when(here, w * x * x)).alias(f"wxx{g}_{i}"),
+            here = f"FILTER (WHERE `{treated}` = {g} AND {x} IS NOT NULL)"
+            texts += [
+                f"sum({w}) {here}",
+                f"sum({w} * {w}) {here}",
+                f"sum({w} * {x}) {here}",
+                f"sum({w} * {x} * {x}) {here}",
+                f"var_pop({x}) {here}",
             ]
-    row = df.agg(*sums)
-
-    def entry(i: int, c: str) -> Column:
-        binary = F.col(f"other{i}") == 0
-        fields = [F.lit(c).alias("covariate"), binary.alias("binary")]
-        for g in (0, 1):
-            mean = ratio(F.col(f"wx{g}_{i}"), F.col(f"w{g}_{i}"))
-            spread = (
-                F.greatest(ratio(F.col(f"wxx{g}_{i}"), F.col(f"w{g}_{i}")) - mean * mean, F.lit(0.0))
-                if weight
-                else F.col(f"vp{g}_{i}")
-            )
-            correction = F.lit(1.0) - ratio(F.col(f"ww{g}_{i}"), F.col(f"w{g}_{i}") * F.col(f"w{g}_{i}"))
-            fields.append(mean.alias(f"m{g}"))
-            fields.append(F.when(binary, mean * (1 - mean)).otherwise(ratio(spread, correction)).alias(f"v{g}"))
-        return F.struct(*fields)
-
-    return row.select(F.explode(F.array(*[entry(i, c) for i, c in enumerate(covariates)])).alias("e")).select("e.*")
+        sums += [F.expr(f"{text} AS {name}_{i}") for name, text in zip(names, texts)]
+    entries = ", ".join(
+        f"named_struct('covariate', '{c}', " + ", ".join(f"'{n}', {n}_{i}" for n in names) + ")"
+        for i, c in enumerate(covariates)
+    )
+    long = df.agg(*sums).selectExpr(f"inline(array({entries}))")
+    out = [F.col("covariate"), (F.col("other") == 0).alias("binary")]
+    for g in (0, 1):
+        total = F.col(f"w{g}")
+        mean = ratio(F.col(f"wx{g}"), total)
+        spread = F.greatest(ratio(F.col(f"wxx{g}"), total) - mean * mean, F.lit(0.0)) if weight else F.col(f"vp{g}")
+        correction = F.lit(1.0) - ratio(F.col(f"ww{g}"), total * total)
+        variance = F.when(F.col("other") == 0, mean * (1 - mean)).otherwise(ratio(spread, correction))
+        out += [mean.alias(f"m{g}"), variance.alias(f"v{g}")]
+    return long.select(*out)
 
 
 def balance_table(

@@ -71,7 +71,7 @@ def indicator_rollup(
 ) -> DataFrame:
     """Ever/never indicator per person from the row-level dummies, plus BMI and dose count if present."""
     maxima = [
-        F.max(dummy_name(c, w, label)).alias(indicator_name(c, w, label))
+        F.expr(f"max(`{dummy_name(c, w, label)}`) AS `{indicator_name(c, w, label)}`")
         for c in conditions
         for w in windows
         for label in w.labels
@@ -100,17 +100,14 @@ def fused_rollup(
     masks = [f"_mask{b}" for b in range(len(blocks))]
     has_bmi, has_dose = "BMI_rounded" in days.columns, "had_vaccine_administered" in days.columns
 
-    def packed(names: Sequence[str]) -> Column:
-        out = F.lit(0).cast("long")
-        for bit, name in enumerate(names):
-            out = out + F.when(is_one(name), F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-        return out
+    def packed(names: Sequence[str]) -> str:
+        return " + ".join(["0L", *[f"IF(`{name}` = 1, {1 << bit}L, 0L)" for bit, name in enumerate(names)]])
 
     narrow = days.select(
         ev.person,
         ev.date,
         is_one(ev.index_flag).alias("_index"),
-        *[packed(names).alias(mask) for mask, names in zip(masks, blocks)],
+        *[F.expr(f"{packed(names)} AS {mask}") for mask, names in zip(masks, blocks)],
         *([F.col("BMI_rounded")] if has_bmi else []),
         *([F.col("had_vaccine_administered").cast("long").alias("had_vaccine_administered")] if has_dose else []),
     )
@@ -131,7 +128,7 @@ def fused_rollup(
 
     tests = [(w, label, test) for w in windows for label, test in window_tests(w, ev).items()]
     hits = [
-        F.bit_or(F.when(test, F.col(mask)).otherwise(F.lit(0).cast("long"))).alias(f"_hit{t}_{b}")
+        F.expr(f"bit_or(IF({test}, {mask}, 0L)) AS _hit{t}_{b}")
         for t, (_, _, test) in enumerate(tests)
         for b, mask in enumerate(masks)
     ]
@@ -139,15 +136,14 @@ def fused_rollup(
     position = {name: (b, bit) for b, names in enumerate(blocks) for bit, name in enumerate(names)}
     number = {(w.tag, label): t for t, (w, label, _) in enumerate(tests)}
 
-    def unpacked(condition: str, window: LabelWindow, label: str) -> Column:
+    def unpacked(condition: str, window: LabelWindow, label: str) -> str:
         block, bit = position[condition]
-        return F.getbit(F.col(f"_hit{number[window.tag, label]}_{block}"), F.lit(bit)).cast("int")
+        hit = f"_hit{number[window.tag, label]}_{block}"
+        return f"CAST(getbit({hit}, {bit}) AS INT) AS `{indicator_name(condition, window, label)}`"
 
     kept = [c for c in people.columns if c != ev.person and not c.startswith("_hit")]
-    return people.select(
-        ev.person,
-        *[unpacked(c, w, lb).alias(indicator_name(c, w, lb)) for c in conditions for w in windows for lb in w.labels],
-        *kept,
+    return people.selectExpr(
+        f"`{ev.person}`", *[unpacked(c, w, lb) for c in conditions for w in windows for lb in w.labels], *kept
     )
 
 

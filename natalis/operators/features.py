@@ -120,8 +120,8 @@ def vector_element(df: DataFrame, vector: str, out: str, index: int = 0) -> Data
 
 def variances(df: DataFrame, columns: Sequence[str], ddof: int = 0) -> DataFrame:
     """Long table (feature, variance) from one aggregate over all columns."""
-    var = F.var_samp if ddof else F.var_pop
-    wide = df.agg(*[var(c).alias(c) for c in columns])
+    var = "var_samp" if ddof else "var_pop"
+    wide = df.agg(*[F.expr(f"{var}(`{c}`) AS `{c}`") for c in columns])
     return wide.unpivot([], list(columns), "feature", "variance")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natalis.functions.columns import clean_name, flag
+from natalis.functions.columns import clean_name
 from natalis.plans.clinical import EVENTS, WINDOWS, EventColumns, LabelWindow
 
 
@@ -16,41 +16,45 @@ def column_range(columns: Sequence[str], first: str, last: str) -> list[str]:
     return list(columns[columns.index(first) : columns.index(last) + 1])
 
 
-def lower_bound(window: LabelWindow, ev: EventColumns = EVENTS) -> Column:
+def lower_bound(window: LabelWindow, ev: EventColumns = EVENTS) -> str:
     if window.days_before:
-        return F.date_sub(F.col(ev.index_date), window.days_before)
-    return F.add_months(F.col(ev.index_date), -window.months_before)
+        return f"date_sub(`{ev.index_date}`, {window.days_before})"
+    return f"add_months(`{ev.index_date}`, {-window.months_before})"
 
 
-def upper_bound(window: LabelWindow, ev: EventColumns = EVENTS) -> Column:
-    return F.add_months(F.col(ev.index_date), window.months_after)
+def upper_bound(window: LabelWindow, ev: EventColumns = EVENTS) -> str:
+    return f"add_months(`{ev.index_date}`, {window.months_after})"
 
 
 def with_bounds(df: DataFrame, windows: Sequence[LabelWindow] = WINDOWS, ev: EventColumns = EVENTS) -> DataFrame:
     bounds = {}
     for w in windows:
-        bounds[w.lower_column] = lower_bound(w, ev)
-        bounds[w.upper_column] = upper_bound(w, ev)
+        bounds[w.lower_column] = F.expr(lower_bound(w, ev))
+        bounds[w.upper_column] = F.expr(upper_bound(w, ev))
     return df.withColumns(bounds)
 
 
-def window_tests(window: LabelWindow, ev: EventColumns = EVENTS) -> dict[str, Column]:
-    """The date test behind each label of a family; a missing date satisfies none."""
-    day, index = F.col(ev.date), F.col(ev.index_date)
+def window_tests(window: LabelWindow, ev: EventColumns = EVENTS) -> dict[str, str]:
+    """The date test behind each label of a family; a missing date satisfies none.
+
+    Tests are SQL texts: hundreds of columns are built from them, and a text costs one call to the JVM.
+    """
+    day, index = f"`{ev.date}`", f"`{ev.index_date}`"
     low, high = lower_bound(window, ev), upper_bound(window, ev)
+    end = "<=" if window.post_inclusive else "<"
     return {
-        window.before: day < low,
-        window.during: (day >= low) & (day < index),
-        window.after: (day >= index) & ((day <= high) if window.post_inclusive else (day < high)),
+        window.before: f"{day} < {low}",
+        window.during: f"{day} >= {low} AND {day} < {index}",
+        window.after: f"{day} >= {index} AND {day} {end} {high}",
     }
 
 
 def window_label(condition: str, window: LabelWindow, ev: EventColumns = EVENTS) -> Column:
     """``no`` for value 0, one of the three window labels for value 1, else ``undefined``."""
-    out = F.when(F.col(condition) == 0, "no")
-    for label, test in window_tests(window, ev).items():
-        out = out.when((F.col(condition) == 1) & test, label)
-    return out.otherwise("undefined")
+    whens = " ".join(
+        f"WHEN `{condition}` = 1 AND {test} THEN '{label}'" for label, test in window_tests(window, ev).items()
+    )
+    return F.expr(f"CASE WHEN `{condition}` = 0 THEN 'no' {whens} ELSE 'undefined' END")
 
 
 def label_name(condition: str, window: LabelWindow) -> str:
@@ -71,7 +75,7 @@ def with_dummies(df: DataFrame, conditions: Sequence[str], windows: Sequence[Lab
     """One 0/1 column per label that counts. The label domain is declared, so no discovery job runs."""
     return df.withColumns(
         {
-            dummy_name(c, w, label): flag(F.col(label_name(c, w)) == label)
+            dummy_name(c, w, label): F.expr(f"IF(`{label_name(c, w)}` = '{label}', 1, 0)")
             for c in conditions
             for w in windows
             for label in w.labels

@@ -80,7 +80,6 @@ class _Likelihood:
         q, g, m = self.q, self.g, len(betas)
         upper = np.triu_indices(q)
         width = 4 + 3 * q + (len(upper[0]) if cross else 0)
-        columns = [f"c{i}" for i in range(width)]
         # Task code keeps plain arrays only: the object itself holds the data frame.
         group, terms, labels, shift, scale = self.group, self.terms, self.labels, self.shift, self.scale
         b, u = np.array(betas), np.array(modes)
@@ -113,21 +112,17 @@ class _Likelihood:
                     if cross:
                         parts.append(w[:, None] * x[:, upper[0]] * x[:, upper[1]])
                     sums[k, code[starts]] += np.add.reduceat(np.hstack(parts), starts, axis=0)
-            flat = pd.DataFrame(sums.reshape(m * g, width), columns=columns)
-            flat.insert(0, "k", np.repeat(np.arange(m, dtype="int32"), g))
-            flat.insert(1, "cluster", np.tile(np.arange(g, dtype="int32"), m))
-            yield flat
+            slot = np.flatnonzero(sums)
+            yield pd.DataFrame({"slot": slot, "value": sums.ravel()[slot]})
 
-        schema = "k int, cluster int, " + ", ".join(f"{c} double" for c in columns)
+        # one long row per sum: a wide aggregate would be planned and compiled at several times the cost
         totals = (
-            self.table.mapInPandas(fold, schema)
-            .groupBy("k", "cluster")
-            .agg(*[F.sum(c).alias(c) for c in columns])
-            .toPandas()
-            .sort_values(["k", "cluster"])
+            self.table.mapInPandas(fold, "slot long, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
         )
         self.passes += 1
-        return totals[columns].to_numpy().reshape(m, g, width)
+        out = np.zeros(m * g * width)
+        out[totals["slot"].to_numpy()] = totals["value"].to_numpy()
+        return out.reshape(m, g, width)
 
     def laplace(self, stats: np.ndarray, tau: float, u: np.ndarray):
         """Value, gradient in (beta, log sigma), step of the modes and their sensitivity."""

@@ -73,7 +73,7 @@ def running_totals(
 
 
 def number_rows(
-    df: DataFrame, key: str, by: Sequence[str] = (), out: str = "row_no", buckets: int = 256, seed: int = 42
+    df: DataFrame, key: str, by: Sequence[str] = (), out: str = "row_no", buckets: int | None = None, seed: int = 42
 ) -> DataFrame:
     """Gap-free numbers from 0 per ``by`` group, in the order of a hash of ``key``.
 
@@ -81,6 +81,7 @@ def number_rows(
     A heavy group is so numbered by ``buckets`` tasks, and the order does not depend on the data's layout.
     """
     by = list(by)
+    buckets = buckets or max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed)))
     hashed = hashed.withColumn("_bucket", F.pmod(F.shiftright("_hash", 8), F.lit(buckets)).cast("int"))
     counts = hashed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))

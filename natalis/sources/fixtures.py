@@ -70,7 +70,7 @@ def wide_indicator(k: int) -> str:
 
 
 def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(text).alias(name) for name, text in columns.items()])
+    return df.selectExpr(*[f"{text} AS {name}" for name, text in columns.items()])
 
 
 def fact_day(spark: SparkSession, base: str) -> DataFrame:
@@ -94,7 +94,7 @@ def patient_summary_wide(spark: SparkSession, base: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(
             F.expr("max(o_totalprice / 12500.0)").alias("BMI_max_observed_or_calculated"),
-            *[F.max(F.expr(wide_indicator(k))).alias(name) for k, name in enumerate(COMORBIDITIES)],
+            *[F.expr(f"max({wide_indicator(k)}) AS {name}") for k, name in enumerate(COMORBIDITIES)],
         )
     )
     customers = read_table(spark, base, "customer").join(flags, F.col("c_custkey") == F.col("o_custkey"), "left")

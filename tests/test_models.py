@@ -211,8 +211,8 @@ def test_reweighting_lowers_the_violation(spark):
     rng = np.random.default_rng(8)
     n = 2000
     g = rng.integers(0, 2, n)
-    x = rng.integers(0, 5, n) + g
-    y = (rng.random(n) < 1 / (1 + np.exp(-(x - 2.5)))).astype(int)
+    x = np.round(rng.normal(size=n) + g, 2)
+    y = (rng.random(n) < 1 / (1 + np.exp(-(x - 0.5)))).astype(int)
     df = spark.createDataFrame(pd.DataFrame({"g": g, "x": x, "y": y}))
     fit = mitigate.reweighted_logistic(df, ["x", "g"], "y", ["g"], grid_limit=0.5, constraint_weight=0.9)
     table = fit.table.toPandas()
