@@ -35,6 +35,11 @@ def _moments(train: DataFrame, fit: models.LinearFit, penalty: float) -> DataFra
     return rounded(row.unpivot([], ["(Intercept)", *fit.weights], "term", "moment"), 1)
 
 
+@query
+def hash_split(spark, base):
+    return metrics.split_sizes(models.with_split(_groups(spark, base), "person_id"))
+
+
 @query
 def lr_lung(spark, base):
     train = _groups(spark, base)

@@ -49,7 +49,7 @@ def attach_index(days: DataFrame, index: DataFrame, ev: EventColumns = EVENTS, s
 
 def index_cohort(facts: DataFrame, ev: EventColumns = EVENTS) -> DataFrame:
     """Cohort rows of persons with an index event, each with the person's first index date."""
-    days = filters.in_cohort(filters.any_event(facts, ev), ev)
+    days = filters.cohort_days(facts, ev)
     return attach_index(days, index_dates(days, ev), ev)
 
 
@@ -95,7 +95,7 @@ def fused_rollup(
     The group-by after the window uses the window's partitioning. With ``unique_days`` the caller states
     that person and date are already unique, and the first exchange is left out.
     """
-    days = filters.in_cohort(filters.any_event(facts, ev), ev).filter(F.col(ev.person).isNotNull())
+    days = filters.cohort_days(facts, ev).filter(F.col(ev.person).isNotNull())
     blocks = [list(conditions[i : i + _BITS]) for i in range(0, len(conditions), _BITS)]
     masks = [f"_mask{b}" for b in range(len(blocks))]
     has_bmi, has_dose = "BMI_rounded" in days.columns, "had_vaccine_administered" in days.columns

@@ -20,6 +20,14 @@ def in_cohort(df: DataFrame, ev: EventColumns = EVENTS) -> DataFrame:
     return df.filter(is_one(ev.cohort_flag))
 
 
+def cohort_days(df: DataFrame, ev: EventColumns = EVENTS) -> DataFrame:
+    """``in_cohort(any_event(df))``, without the OR where the cohort flag implies it.
+
+    Left to the optimizer, the OR stays in the pushed filters and its columns in the scan.
+    """
+    return in_cohort(df if ev.cohort_flag in ev.any_flags else any_event(df, ev), ev)
+
+
 def index_rows(df: DataFrame, ev: EventColumns = EVENTS) -> DataFrame:
     return df.filter(is_one(ev.index_flag))
 

@@ -112,12 +112,12 @@ def allocate(scores: DataFrame, parts: int | None = None) -> DataFrame:
             return pd.DataFrame(out, columns=[c.split()[0] for c in _ALLOCATED.split(", ")])
 
         segmented = table.withColumn("segment", F.lit(numbers)[F.col(RANGE)]).drop(RANGE)
-        pairs = segmented.groupBy("segment").applyInPandas(choose, _ALLOCATED).persist()
+        pairs = cut_lineage(segmented.groupBy("segment").applyInPandas(choose, _ALLOCATED))
         marks = pairs.filter(F.col("treated_score").isNull()).select("segment", "open_left", "open_right").collect()
         if not marks:
-            return pairs.select("treated_score", "control_score", "t_from", "c_from", "n")
+            chosen = pairs.filter(F.col("treated_score").isNotNull())
+            return chosen.select("treated_score", "control_score", "t_from", "c_from", "n")
         starts = _merge(starts, [tuple(m) for m in marks], reach)
-        pairs.unpersist()
         reach *= 2
 
 

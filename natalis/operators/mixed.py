@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.functions.columns import logistic
+from natalis.functions.columns import binary_label, logistic
 from natalis.operators.filters import complete_rows
 from natalis.operators.hypothesis import likelihood_ratio, wald_table
 from natalis.sources.store import cut_lineage
@@ -350,7 +350,7 @@ def predicted_curve(
     half = F.lit(1.96) * F.sqrt(F.greatest(F.col("_var"), F.lit(0.0)))
     return grid.withColumns({"_eta": eta, "_var": variance}).select(
         "x",
-        F.when(F.col("level") == 1, "Positive").otherwise("Negative").alias("group"),
+        binary_label("level").alias("group"),
         logistic(F.col("_eta")).alias("predicted"),
         logistic(F.col("_eta") - half).alias("conf_low"),
         logistic(F.col("_eta") + half).alias("conf_high"),

@@ -673,6 +673,29 @@ def model_texts() -> dict[str, str]:
         _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"
     )
     out["propensity"] = sql(_observed_moments(cl.EXPOSURE, cl.MATCH_COVARIATES, "modelled", "true"), "modelled")
+    def loglik(hit: str, total: str) -> str:
+        return (
+            f"CASE WHEN {hit} > 0 THEN {hit} * ln({hit} / {total}) ELSE 0 END + "
+            f"CASE WHEN {total} - {hit} > 0 THEN ({total} - {hit}) * ln(({total} - {hit}) / {total}) ELSE 0 END"
+        )
+
+    chi = f"2 * ({loglik('y0', 'n0')} + {loglik('y1', 'n1')} - ({loglik('(y0 + y1)', '(n0 + n1)')}))"
+    tests = " UNION ALL ".join(
+        f"SELECT '{label}' AS dv_label, greatest({chi}, 0) AS x FROM (SELECT "
+        + ", ".join(
+            f"CAST(count(*) FILTER ({cl.EXPOSURE} = {k}) AS DOUBLE) AS n{k}, "
+            f"CAST(count(*) FILTER ({cl.EXPOSURE} = {k} AND {y} = 1) AS DOUBLE) AS y{k}"
+            for k in (0, 1)
+        )
+        + " FROM modelled)"
+        for label, y in cl.OUTCOMES.items()
+    )
+    out["likelihood_ratio"] = sql(
+        "SELECT dv_label, round(x, 2) + 0.0 AS chi_sq, 1 AS df_diff, "
+        f"{r6('p')} AS p_val, CASE WHEN p < 0.001 THEN '< 0.001' ELSE printf('%.4f', p) END AS p_val_str FROM "
+        f"(SELECT *, {normal_two_sided('sqrt(x)')} AS p FROM ({tests}))",
+        "modelled",
+    )
     out["leakage_table"] = sql(
         "SELECT y_pred, n_0, n_1, CAST(n_1 > n_0 AS INT) AS best_guess, "
         f"{r6('greatest(n_0, n_1) / (n_0 + n_1)')} AS guess_accuracy FROM (SELECT y_pred, count(*) FILTER "

@@ -490,6 +490,34 @@ def wald_table(spark, base):
     return rounded(hypothesis.wald_table(_exposure_table(spark, base)))
 
 
+def _loglik(hit, total):
+    """Bernoulli log-likelihood of a cell at its own rate."""
+    miss = total - hit
+    part = lambda n: F.when(n > 0, n * F.log(n / total)).otherwise(0.0)
+    return part(hit) + part(miss)
+
+
+@query
+def likelihood_ratio(spark, base):
+    """Outcome without and with the exposure; both logistic models have closed-form likelihoods."""
+    table = chains.model_table(_summary(spark, base))
+    y, e = F.col("y"), F.col(cl.EXPOSURE)
+    entries = F.array(*[F.struct(F.lit(k).alias("dv_label"), F.col(v).alias("y")) for k, v in cl.OUTCOMES.items()])
+    long = table.select(cl.EXPOSURE, F.explode(entries).alias("o")).select(cl.EXPOSURE, "o.*")
+    cells = long.groupBy("dv_label").agg(
+        *[F.count_if(e == k).cast("double").alias(f"n{k}") for k in (0, 1)],
+        *[F.count_if((e == k) & (y == 1)).cast("double").alias(f"y{k}") for k in (0, 1)],
+    )
+    n0, n1, y0, y1 = (F.col(c) for c in ("n0", "n1", "y0", "y1"))
+    fits = cells.select(
+        "dv_label",
+        _loglik(y0 + y1, n0 + n1).alias("loglik_reduced"),
+        (_loglik(y0, n0) + _loglik(y1, n1)).alias("loglik_full"),
+        F.lit(1).alias("df_diff"),
+    )
+    return rounded(hypothesis.likelihood_ratio(fits))
+
+
 # --- metrics and fairness on a fixed score ------------------------------------------------------------
 
 

@@ -86,18 +86,16 @@ def test_fused_plan_has_no_join_and_two_exchanges(spark):
     assert once.count("Exchange hashpartitioning") == 1
 
 
-def test_filters_reach_the_scan(spark, small):
-    orders = spark.read.parquet(f"{small}/orders.parquet")
-    facts = orders.select(
-        F.col("o_orderkey").cast("int").alias("pregnancy"),
-        F.col("o_custkey").alias("person_id"),
-        F.lit(1).alias("delivery_record_only"),
-        F.lit(0).alias("number_given_birth"),
-        F.col("o_orderdate").alias("date"),
-    )
-    plan = filters.in_cohort(filters.any_event(facts)).select("person_id")._jdf.queryExecution().executedPlan().toString()
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    fixture(spark).write.parquet(path)
+    facts = spark.read.parquet(path)
+    plan = cohort.fused_rollup(facts, ["a"])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters:")[1].split("ReadSchema:")[0]
+    assert "EqualTo(pregnancy,1)" in pushed and "IsNotNull(person_id)" in pushed
+    assert "number_given_birth" not in pushed
     schema = plan.split("ReadSchema:")[1]
-    assert "o_totalprice" not in schema and "o_orderstatus" not in schema
+    assert "number_given_birth" not in schema and "b:int" not in schema
 
 
 def test_index_join_keeps_heavy_person_spread(spark):
