@@ -196,7 +196,7 @@ def smote_embeddings(spark, base):
     vectors = fx.read_table(spark, base, "embeddings")
     width = len(vectors.select("embedding").first()[0])
     names = [f"e{i}" for i in range(width)]
-    wide = vectors.select("label", *[F.col("embedding")[i].alias(n) for i, n in enumerate(names)])
+    wide = vectors.selectExpr("label", *[f"embedding[{i}] AS {n}" for i, n in enumerate(names)])
     return _class_sizes(imbalance.smote(wide, names, "label"), "label")
 
 

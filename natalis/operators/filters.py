@@ -59,12 +59,9 @@ def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     exponentially when the optimizer rewrites it through their aliases.
     """
     kinds = dict(df.dtypes)
-    for name in columns:
-        column = F.col(f"`{name}`")
-        df = df.filter(column.isNotNull())
-        if kinds[name] in ("double", "float"):
-            df = df.filter(~F.isnan(column))
-    return df
+    tests = [f"`{c}` IS NOT NULL" for c in columns]
+    tests += [f"NOT isnan(`{c}`)" for c in columns if kinds[c] in ("double", "float")]
+    return df.filter(" AND ".join(tests)) if tests else df
 
 
 def visits_between(

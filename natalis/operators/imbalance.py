@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def _synthetic(rows: DataFrame, features: Sequence[str], n_rows: int, n_new: int
         patterns.select(
             F.xxhash64(*features, F.lit(seed)).alias("pid"),
             "m",
-            F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
+            F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x"),
         )
     )
     other = patterns.select(F.col("pid").alias("nid"), F.col("m").alias("nm"), F.col("x").alias("nx"))
@@ -63,7 +65,7 @@ def _synthetic(rows: DataFrame, features: Sequence[str], n_rows: int, n_new: int
     )
     points = single.withColumns({"_pick": pick, "_u": along}).select("x", partner.alias("_p"), "_u")
     mixed = points.select(F.zip_with("x", "_p", lambda a, b: a + (b - a) * F.col("_u")).alias("x"))
-    return mixed.select(*[F.col("x")[i].alias(f) for i, f in enumerate(features)])
+    return mixed.selectExpr(*[f"x[{i}] AS `{f}`" for i, f in enumerate(features)])
 
 
 def smote(
@@ -74,6 +76,7 @@ def smote(
     seed: int = 42,
     group: str | None = None,
     max_classes: int = 100,
+    parallelism: int = 8,
 ) -> DataFrame:
     """All rows plus synthetic ones, so that every class is as large as the largest.
 
@@ -86,15 +89,21 @@ def smote(
     if len(counts) > max_classes:
         raise ValueError(f"more than {max_classes} classes")
     largest = max(r["count"] for r in counts)
-    result = rows.select(*[F.col(f).cast("double").alias(f) for f in features], *by).withColumn("synthetic", F.lit(False))
-    for r in sorted(counts, key=lambda r: tuple(str(r[b]) for b in by)):
-        if r["count"] == largest:
-            continue
+    numbers = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
+    result = rows.selectExpr(*numbers, *[f"`{b}`" for b in by]).withColumn("synthetic", F.lit(False))
+    kinds = dict(rows.dtypes)
+
+    def grow(r) -> DataFrame:
         member = rows
         for b in by:
             member = member.filter(F.col(b) == F.lit(r[b]))
         made = _synthetic(member.select(*features), features, r["count"], largest - r["count"], k, seed)
-        kinds = dict(rows.dtypes)
-        made = made.withColumns({b: F.lit(r[b]).cast(kinds[b]) for b in by}).withColumn("synthetic", F.lit(True))
-        result = result.unionByName(made)
+        return made.withColumns({b: F.lit(r[b]).cast(kinds[b]) for b in by}).withColumn("synthetic", F.lit(True))
+
+    short = sorted((r for r in counts if r["count"] < largest), key=lambda r: tuple(str(r[b]) for b in by))
+    if short:
+        # the jobs of different classes do not depend on each other and share the cluster
+        with ThreadPool(min(parallelism, len(short))) as pool:
+            for made in pool.map(inheritable_thread_target(df.sparkSession)(grow), short):
+                result = result.unionByName(made)
     return result

@@ -253,7 +253,7 @@ def fit_mixed(
     checked, as the driver holds a short row for each.
     """
     expanded, names = expand_terms(df, terms)
-    used = expanded.select(group, outcome, *[F.col(f"`{t}`").cast("double").alias(t) for t in names])
+    used = expanded.selectExpr(f"`{group}`", f"`{outcome}`", *[f"CAST(`{t}` AS DOUBLE) AS `{t}`" for t in names])
     used = complete_rows(used, used.columns)
     keys = [group, *[f"`{t}`" for t in names]]
     table = cut_lineage(
