@@ -259,16 +259,20 @@ def fit_mixed(
     table = cut_lineage(
         used.groupBy(*keys).agg(F.sum(F.col(outcome).cast("double")).alias("s"), F.count("*").cast("double").alias("n"))
     )
-    n = F.col("n")
-    x = {t: F.col(f"`{t}`") for t in names}
     head = table.agg(
-        F.sum("n").alias("rows"), F.sum("s").alias("events"), *[(F.sum(n * x[t]) / F.sum(n)).alias(f"m{i}") for i, t in enumerate(names)]
+        F.sum("n").alias("rows"),
+        F.sum("s").alias("events"),
+        *[
+            F.expr(f"{text.format(x=f'`{t}`')} AS {tag}{i}")
+            for i, t in enumerate(names)
+            for tag, text in (("m", "sum(n * {x}) / sum(n)"), ("q", "sum(n * {x} * {x}) / sum(n)"), ("w", "max({x}) - min({x})"))
+        ],
     ).first()
     means = np.array([head[f"m{i}"] for i in range(len(names))])
-    spread = table.agg(
-        *[F.sqrt(F.sum(n * (x[t] - float(means[i])) ** 2) / F.sum(n)).alias(f"s{i}") for i, t in enumerate(names)]
-    ).first()
-    scale = np.array([spread[f"s{i}"] for i in range(len(names))])
+    # only conditions the iteration; the result is mapped back exactly
+    spread = np.sqrt(np.maximum([head[f"q{i}"] - head[f"m{i}"] ** 2 for i in range(len(names))], 0.0))
+    width = np.array([head[f"w{i}"] for i in range(len(names))])
+    scale = np.where(spread > 1e-6 * width, spread, width)
     constant = [t for t, s in zip(names, scale) if not s > 0]
     if constant:
         raise ValueError(f"constant terms cannot be fitted: {constant}")
