@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import golay, packing
+from natalis.llm import golay, line_rules, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,11 +24,21 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(base, f"{name}.parquet"))
 
 
+@query
+def op2_quality(spark, base):
+    return quality.scored(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
 @query
 def op4_pack(spark, base):
     return packing.packed_documents(table(spark, base, "documents"))
 
 
+@query
+def op6_line_rules(spark, base):
+    return line_rules.judged(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
 @query
 def op10_simhash(spark, base):
     found = golay.near_duplicates(table(spark, base, "documents"))
