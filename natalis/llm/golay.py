@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -283,5 +283,16 @@ def near_duplicates(
     return prints.join(component, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
-def hex_fingerprint(column: str = "fp"):
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, with all their columns.
+
+    Rows that share this id are one document and all stay; so does a component that has NULL ids only.
+    """
+    groups = near_duplicates(docs, id_col, text_col, **options)
+    chosen = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_chosen")).distinct()
+    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_chosen"]), "left_semi")
+
+
+def hex_fingerprint(column: str = "fp") -> Column:
+    """The fingerprint as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))

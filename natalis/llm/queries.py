@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import golay, line_rules, packing, quality
+from natalis.llm import decontaminate, golay, line_rules, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -24,6 +24,11 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(base, f"{name}.parquet"))
 
 
+@query
+def op1_decontaminate(spark, base):
+    return decontaminate.overlaps(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
 @query
 def op2_quality(spark, base):
     return quality.scored(table(spark, base, "documents"), table(spark, base, "labels"))
