@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import decontaminate, golay, line_rules, packing, quality
+from natalis.llm import decontaminate, golay, hilbert, line_rules, packing, perspectives, quality, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -34,6 +34,11 @@ def op2_quality(spark, base):
     return quality.scored(table(spark, base, "documents"), table(spark, base, "labels"))
 
 
+@query
+def op3_perspectives(spark, base):
+    return perspectives.perspectives(table(spark, base, "conversations"))
+
+
 @query
 def op4_pack(spark, base):
     return packing.packed_documents(table(spark, base, "documents"))
@@ -44,6 +49,26 @@ def op6_line_rules(spark, base):
     return line_rules.judged(table(spark, base, "documents"), table(spark, base, "labels"))
 
 
+@query
+def op7_shards(spark, base):
+    placed = hilbert.shards(table(spark, base, "documents"), ["lang", "source", "size"])
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "curve",
+    )
+
+
+@query
+def op8_token_counts(spark, base):
+    return wordpiece.token_counts(table(spark, base, "documents"))
+
+
 @query
 def op10_simhash(spark, base):
     found = golay.near_duplicates(table(spark, base, "documents"))
