@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import decontaminate, golay, hilbert, line_rules, packing, perspectives, quality, wordpiece
+from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, packing, perspectives, quality, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -44,6 +44,11 @@ def op4_pack(spark, base):
     return packing.packed_documents(table(spark, base, "documents"))
 
 
+@query
+def op5_warc(spark, base):
+    return archives.round_trip(table(spark, base, "pages"))
+
+
 @query
 def op6_line_rules(spark, base):
     return line_rules.judged(table(spark, base, "documents"), table(spark, base, "labels"))
