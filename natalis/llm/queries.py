@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, packing, perspectives, quality, wordpiece
+from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, packing, perspectives, quality, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -74,6 +74,11 @@ def op8_token_counts(spark, base):
     return wordpiece.token_counts(table(spark, base, "documents"))
 
 
+@query
+def op9_lm_score(spark, base):
+    return mixing.scored(table(spark, base, "documents"))
+
+
 @query
 def op10_simhash(spark, base):
     found = golay.near_duplicates(table(spark, base, "documents"))
