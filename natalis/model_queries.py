@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis import oracle
-from natalis.operators import balance, fairness, features, imbalance, matching, metrics, mitigate, mixed, models
+from natalis.operators import balance, fairness, features, filters, imbalance, matching, metrics, mitigate, mixed, models
 from natalis.plans import chains
 from natalis.plans import clinical as cl
 from natalis.queries import _groups, _summary, query, rounded
@@ -101,7 +101,7 @@ def _network(spark, base, hidden) -> DataFrame:
     groups = models.with_split(_groups(spark, base), "person_id")
     names = [c for c in LUNG_FEATURES if c != "race_privilege"]
     scaled = cut_lineage(features.zscore(groups, ["age"], ddof=0, replace=True))
-    fit = models.neural_network(scaled.filter(F.col("split") == "train"), names, cl.LUNG, hidden, max_iter=40)
+    fit = models.neural_network(scaled.filter(F.col("split") == "train"), names, cl.LUNG, hidden)
     return fit.transform(scaled).withColumn("y", F.col(cl.LUNG))
 
 
@@ -120,7 +120,7 @@ def deep_network(spark, base):
 @query
 def leakage_audit(spark, base):
     scored = _network(spark, base, (32,))
-    _, audited = models.leakage_audit(scored, "y_pred", "race_privilege", "person_id", max_iter=20)
+    _, audited = models.leakage_audit(scored, "y_pred", "race_privilege", "person_id")
     return metrics.confusion_matrix(audited, "race_privilege", "sensitive_pred")
 
 
@@ -138,28 +138,28 @@ def _trees(spark, base, fit_fn) -> DataFrame:
 
 @query
 def random_forest(spark, base):
-    return _trees(spark, base, lambda *a: models.random_forest(*a, trees=20, depth=5))
+    return _trees(spark, base, models.random_forest)
 
 
 @query
 def gradient_boosting(spark, base):
-    return _trees(spark, base, lambda *a: models.gradient_boosting(*a, rounds=8, depth=3))
+    return _trees(spark, base, models.gradient_boosting)
 
 
 @query
 def linear_svm(spark, base):
-    return _trees(spark, base, lambda *a: models.linear_svm(*a, max_iter=30))
+    return _trees(spark, base, models.linear_svm)
 
 
 @query
 def cross_validation(spark, base):
     groups = cut_lineage(_groups(spark, base))
-    return rounded(models.cross_validate(groups, LUNG_FEATURES, cl.LUNG, "person_id", penalties=(0.01, 0.1), folds=2), 4)
+    return rounded(models.cross_validate(groups, LUNG_FEATURES, cl.LUNG, "person_id"), 4)
 
 
 @query
 def tree_importance(spark, base):
-    fit = models.random_forest(_groups(spark, base), LUNG_FEATURES, cl.LUNG, trees=20, depth=5)
+    fit = models.random_forest(_groups(spark, base), LUNG_FEATURES, cl.LUNG)
     return rounded(models.feature_importance(fit, spark))
 
 
@@ -277,7 +277,7 @@ def match_summary(spark, base):
 @query
 def ecdf_distances(spark, base):
     table = chains.model_table(_summary(spark, base))
-    return rounded(balance.ecdf_distances(table, cl.EXPOSURE, oracle.ECDF_COLUMNS))
+    return rounded(balance.ecdf_distances(table, cl.EXPOSURE, cl.MATCH_COVARIATES))
 
 
 def _stratum_scores(spark, base) -> DataFrame:
@@ -291,8 +291,7 @@ def _stratum_scores(spark, base) -> DataFrame:
 @query
 def balance_table(spark, base):
     weighted = _stratum_scores(spark, base)
-    table = balance.balance_table(weighted, weighted, cl.EXPOSURE, cl.MATCH_COVARIATES, weight="weights")
-    return rounded(table.drop("variance_ratio"))
+    return rounded(balance.balance_table(weighted, weighted, cl.EXPOSURE, cl.MATCH_COVARIATES, weight="weights"))
 
 
 @query
@@ -338,11 +337,14 @@ def glmm_interaction_full(spark, base):
 
 @query
 def predicted_curve(spark, base):
-    table = _model_table(spark, base)
-    fit = mixed.fit_mixed(
-        table, "postpartum_depression", (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS)
-    )
-    return rounded(mixed.predicted_curve(table, fit, "age", cl.EXPOSURE), 4)
+    """Curves of the three outcomes over age, for persons with two to eleven visits."""
+    table = cut_lineage(filters.visits_between(_model_table(spark, base), 2, 12))
+    out = None
+    for label, outcome in cl.OUTCOMES.items():
+        fit = mixed.fit_mixed(table, outcome, (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS))
+        curve = mixed.predicted_curve(table, fit, "age", cl.EXPOSURE).withColumn("dv_label", F.lit(label))
+        out = curve if out is None else out.unionByName(curve)
+    return rounded(out, 4)
 
 
 @query

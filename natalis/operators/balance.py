@@ -118,7 +118,7 @@ def match_summary(before: DataFrame, after: DataFrame, treated: str, covariates:
     distances = ecdf_distances(before, treated, covariates).withColumn("stage", F.lit("before")).unionByName(
         ecdf_distances(after, treated, covariates).withColumn("stage", F.lit("after"))
     )
-    return table.drop("abs_smd", "ok").join(distances, ["covariate", "stage"])
+    return table.join(distances, ["covariate", "stage"])
 
 
 def sample_sizes(before: DataFrame, after: DataFrame, treated: str) -> DataFrame:

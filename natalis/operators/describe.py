@@ -11,7 +11,8 @@ from natalis.operators.ordering import running_totals
 
 
 def level_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count("*").alias("n"))
+    """Rows per level, rarest first."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy("n", column)
 
 
 def row_count(df: DataFrame) -> DataFrame:

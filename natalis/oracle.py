@@ -14,8 +14,6 @@ CONDITIONS = tuple(
         list(fx.FACT_DAY).index(cl.FIRST_CONDITION) : list(fx.FACT_DAY).index(cl.LAST_CONDITION) + 1
     ]
 )
-# Conditions shown by the row-level queries; the person-level ones use all of them.
-SHOWN = ("depression", "LL_COVID_diagnosis", "delivery_mode_caesarean")
 
 
 def r6(text: str, digits: int = 6) -> str:
@@ -167,6 +165,19 @@ def t_two_sided(t: str, df: str) -> str:
     )
 
 
+def t_quantile_975(df: str) -> str:
+    """The t law's 0.975 quantile by its expansion around the normal one, for the large samples checked here."""
+    z = 1.959963984540054
+    terms = (
+        z,
+        (z**3 + z) / 4,
+        (5 * z**5 + 16 * z**3 + 3 * z) / 96,
+        (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+        (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160,
+    )
+    return "(" + " + ".join(f"{t!r} / pow({df}, {i})" for i, t in enumerate(terms)) + ")"
+
+
 def _scored_cells(by: str = "") -> str:
     group = f"{by}, " if by else ""
     tail = f" GROUP BY {by}" if by else ""
@@ -218,20 +229,19 @@ def _hot(column: str, levels) -> str:
 
 
 _KEPT_RACES = [r for r in cl.RACE_LEVELS if r != "Unknown"]
-CORR_COLUMNS = ("age", "total_visits", "BMI_max_observed_or_calculated", "total_number_of_COVID_vaccine_doses") + tuple(
-    f"{c}_1y_during_1y_prior_to_1st_delivery_indicator"
-    for c in ("depression", "preeclampsia", "LL_COVID_diagnosis", "OBESITY", "maternal_obesity", "hypertension")
-)
+CORR_COLUMNS = ("age", "total_visits", "BMI_max_observed_or_calculated", "total_number_of_COVID_vaccine_doses") + INDICATORS
 
 
 def _corr(digits: int = 6) -> str:
-    rows = " UNION ALL ".join(
-        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, "
-        f"{r6(f'corr({a}, {b})', digits)} AS r FROM summary"
-        for i, a in enumerate(CORR_COLUMNS)
-        for b in CORR_COLUMNS[i + 1 :]
+    """Every pair of columns, over the rows where both are known; NULL where one of them is constant."""
+    entries = ", ".join(f"{{'k': {i}, 'f': '{c}', 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(CORR_COLUMNS))
+    r = r6("CASE WHEN min(a.v) < max(a.v) AND min(b.v) < max(b.v) THEN corr(a.v, b.v) END", digits)
+    return (
+        f"SELECT a.f AS feature_a, b.f AS feature_b, count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) AS n, {r} AS r "
+        "FROM long a JOIN long b ON a.person_id = b.person_id AND a.k < b.k GROUP BY a.f, b.f"
+    ).replace(
+        "long", f"(SELECT person_id, unnest([{entries}], recursive := true) FROM summary)"
     )
-    return rows
 
 
 def _describe(group: str, value: str, source: str) -> str:
@@ -271,14 +281,25 @@ def _patient_flow() -> str:
 
 
 _PAIRED = (
-    "SELECT n, {mean} AS mean, {sd} AS sd, {t} AS t, n - 1 AS df, {p} AS p_value FROM (SELECT count(d) AS n, "
+    "SELECT n, {mean} AS mean, {sd} AS sd, {t} AS t, n - 1 AS df, {p} AS p_value, {low} AS ci_low, {high} AS ci_high "
+    "FROM (SELECT count(d) AS n, "
     "avg(d) AS mean, stddev_samp(d) AS sd, avg(d) / (stddev_samp(d) / sqrt(count(d))) AS t FROM "
     "(SELECT CAST({a} AS DOUBLE) - {b} AS d FROM history))"
 )
 
 
 def _paired(a: str, b: str) -> str:
-    text = _PAIRED.format(a=a, b=b, mean=r6("mean"), sd=r6("sd"), t=r6("t"), p=r6(t_two_sided("t", "n - 1")))
+    half = f"({t_quantile_975('(n - 1)')} * sd / sqrt(n))"
+    text = _PAIRED.format(
+        a=a,
+        b=b,
+        mean=r6("mean"),
+        sd=r6("sd"),
+        t=r6("t"),
+        p=r6(t_two_sided("t", "n - 1")),
+        low=r6(f"mean - {half}"),
+        high=r6(f"mean + {half}"),
+    )
     return sql(text, "history")
 
 
@@ -315,11 +336,11 @@ def core_texts() -> dict[str, str]:
         "bounded",
     )
     for tag in ("1y", "280d"):
-        labels = ", ".join(f"{label_case(c, tag)} AS {c}_flag_{tag}" for c in SHOWN)
+        labels = ", ".join(f"{label_case(c, tag)} AS {c}_flag_{tag}" for c in CONDITIONS)
         out[f"window_label_{tag}"] = sql(f"SELECT person_id, date, {labels} FROM bounded", "bounded")
     dummies = ", ".join(
         f"CASE WHEN {c} = 1 AND {test} THEN 1 ELSE 0 END AS {c}_flag_{tag}_{label}"
-        for c in SHOWN
+        for c in CONDITIONS
         for tag in ("1y", "280d")
         for label, test in _tests(tag).items()
     )
@@ -347,7 +368,7 @@ def core_texts() -> dict[str, str]:
         "person",
     )
     out["level_counts"] = sql(
-        "SELECT postpartum_depression_main, count(*) AS n FROM history GROUP BY 1", "history"
+        "SELECT postpartum_depression_main, count(*) AS n FROM history GROUP BY 1 ORDER BY n", "history"
     )
     out["three_statistics"] = sql(
         f"SELECT count(age) AS n, {r6('avg(age)')} AS mean, {r6('stddev_samp(age)')} AS sd FROM history", "history"
@@ -377,9 +398,14 @@ def core_texts() -> dict[str, str]:
                    **cl.combined_indicators("diabetes", ("diabetes", "diabetes_complicated"))}
     anys = ", ".join(f"greatest({', '.join(parts)}) AS {new}" for new, parts in any_columns.items())
     out["any_of"] = sql(f"SELECT person_id, {anys} FROM summary", "summary")
+    renamed = ", ".join(f"{old} AS {new}" for new, old in cl.HISTORY_COLUMNS.items())
+    incident = ", ".join(
+        f"CASE WHEN {cl.HISTORY_COLUMNS[prior]} = 1 THEN NULL ELSE {cl.HISTORY_COLUMNS[outcome]} END AS {new}"
+        for new, (outcome, prior) in cl.INCIDENT_OUTCOMES.items()
+    )
     out["age_band_cohort"] = sql(
-        f"SELECT person_id, total_visits, sex, age, {anys}, total_number_of_COVID_vaccine_doses FROM summary "
-        "WHERE age BETWEEN 18 AND 50",
+        f"SELECT {', '.join(cl.BASE_COLUMNS)}, {renamed}, {incident}, {anys}, {', '.join(INDICATORS)}, "
+        "BMI_max_observed_or_calculated, total_number_of_COVID_vaccine_doses FROM summary WHERE age BETWEEN 18 AND 50",
         "summary",
     )
     out["clean_full"] = sql(
@@ -399,10 +425,9 @@ def core_texts() -> dict[str, str]:
         ),
         "recoded",
     )
-    extended_rest = [c for c in INDICATORS if not c.startswith(("depression", "delivery_mode"))]
     out["one_hot_extended"] = sql(
-        f"SELECT person_id, total_visits, age, sex, {anys}, {', '.join(extended_rest)}, "
-        f"total_number_of_COVID_vaccine_doses, {_hot('sex', cl.SEX_LEVELS)}, "
+        f"SELECT {', '.join(c for c in cl.BASE_COLUMNS if c != 'race')}, {renamed}, {incident}, {anys}, {', '.join(INDICATORS)}, "
+        f"BMI_max_observed_or_calculated, total_number_of_COVID_vaccine_doses, {_hot('sex', cl.SEX_LEVELS)}, "
         f"{_hot('race', _KEPT_RACES)} FROM (SELECT * REPLACE (CASE race "
         + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in cl.RACE_RECODE.items())
         + " ELSE race END AS race) FROM summary)",
@@ -448,7 +473,7 @@ def core_texts() -> dict[str, str]:
     out["corr_long"] = sql(_corr(), "summary")
     out["corr_rounded"] = sql(_corr(2), "summary")
     out["corr_drop"] = sql(
-        f"SELECT DISTINCT feature_b AS feature FROM ({_corr()}) WHERE abs(r) > 0.55", "summary"
+        f"SELECT DISTINCT feature_b AS feature FROM ({_corr()}) WHERE abs(r) > 0.90", "summary"
     )
     out["age_bin"] = sql(
         "SELECT person_id, age, CASE WHEN age >= 45 THEN 5 WHEN age >= 35 THEN 4 WHEN age >= 30 THEN 3 "
@@ -584,28 +609,35 @@ def core_texts() -> dict[str, str]:
         f"({_rates('race_privilege')})",
         "scored",
     )
-    lor = (
-        "SELECT 'depression by exposure' AS dv, 'Model 1' AS model, ln(((count(*) FILTER (e = 1 AND y = 1) + 0.5) * "
-        "(count(*) FILTER (e = 0 AND y = 0) + 0.5)) / ((count(*) FILTER (e = 1 AND y = 0) + 0.5) * "
-        "(count(*) FILTER (e = 0 AND y = 1) + 0.5))) AS estimate FROM (SELECT covid_diag_hist_1y_prior AS e, "
-        "postpartum_depression AS y FROM history)"
+    cells = " UNION ALL ".join(
+        f"SELECT '{label}' AS dv, count(*) FILTER (e = 1 AND y = 1) + 0.5 AS a, count(*) FILTER (e = 1 AND y = 0) + 0.5 AS b, "
+        "count(*) FILTER (e = 0 AND y = 1) + 0.5 AS c, count(*) FILTER (e = 0 AND y = 0) + 0.5 AS d FROM "
+        f"(SELECT {cl.EXPOSURE} AS e, {y} AS y FROM modelled)"
+        for label, y in cl.OUTCOMES.items()
     )
+    odds = f"SELECT dv, ln((a * d) / (b * c)) AS est, sqrt(1 / a + 1 / b + 1 / c + 1 / d) AS se FROM ({cells})"
     out["effect_size"] = sql(
-        f"SELECT dv, model, {r6('estimate')} AS estimate, {r6('exp(estimate)')} AS odds_ratio, "
-        f"round(estimate / 1.81, 3) + 0.0 AS cohen_d FROM ({lor})",
-        "history",
-    )
-    wald = (
-        "SELECT 'covid_diag_hist_1y_prior' AS term, ln((a * d) / (b * c)) AS est, sqrt(1 / a + 1 / b + 1 / c + 1 / d) AS se "
-        "FROM (SELECT count(*) FILTER (e = 1 AND y = 1) + 0.5 AS a, count(*) FILTER (e = 1 AND y = 0) + 0.5 AS b, "
-        "count(*) FILTER (e = 0 AND y = 1) + 0.5 AS c, count(*) FILTER (e = 0 AND y = 0) + 0.5 AS d FROM "
-        "(SELECT covid_diag_hist_1y_prior AS e, postpartum_depression AS y FROM history))"
+        f"SELECT dv, 'Model 1' AS model, {r6('est')} AS estimate, {r6('exp(est)')} AS odds_ratio, "
+        f"round(est / 1.81, 3) + 0.0 AS cohen_d FROM ({odds})",
+        "modelled",
     )
     out["wald_table"] = sql(
-        f"SELECT term, {r6('exp(est)')} AS odds_ratio, {r6('exp(est - 1.96 * se)')} AS ci_low, "
+        f"SELECT dv AS term, {r6('exp(est)')} AS odds_ratio, {r6('exp(est - 1.96 * se)')} AS ci_low, "
         f"{r6('exp(est + 1.96 * se)')} AS ci_high, {r6('est')} AS estimate, {r6('se')} AS std_error, "
-        f"{r6('est / se')} AS z, {r6(normal_two_sided('est / se'))} AS p_value FROM ({wald})",
-        "history",
+        f"{r6('est / se')} AS z, {r6(normal_two_sided('est / se'))} AS p_value FROM ({odds})",
+        "modelled",
+    )
+    welch = out["t_welch"]
+    out["age_report"] = (
+        welch[: welch.rindex("SELECT n1, n2")]
+        + f", test AS (SELECT m1 - m2 AS gap, {welch[welch.rindex('SELECT n1, n2') + 7:]}) "
+        "SELECT 'level' AS section, race_ethnicity AS label, count(age) AS n, "
+        f"{r6('avg(age)')} AS mean, {r6('stddev_samp(age)')} AS sd, CAST(NULL AS DOUBLE) AS t, CAST(NULL AS DOUBLE) AS df, "
+        "CAST(NULL AS DOUBLE) AS p_value FROM summary GROUP BY race_ethnicity UNION ALL "
+        f"SELECT 'test', 'difference', n1 + n2, {r6('gap')}, NULL, t, df, p_value FROM test"
+    )
+    out["zero_variance"] = sql(
+        " UNION ALL ".join(f"SELECT '{c}' AS feature FROM rolled HAVING var_pop({c}) > 0" for c in INDICATORS), "rolled"
     )
     return out
 
@@ -614,7 +646,6 @@ RISK_POINTS = (
     "CAST(age + 3 * total_visits + 4 * race_White + "
     "6 * OBESITY_1y_during_1y_prior_to_1st_delivery_indicator AS DOUBLE)"
 )
-ECDF_COLUMNS = ("age", "total_visits", "race_White", "total_number_of_COVID_vaccine_doses")
 
 
 def _observed_moments(target: str, features, source: str, where: str) -> str:
@@ -651,6 +682,13 @@ def _weighted_mean(column: str, level: int, weight: str) -> str:
     return f"sum({column} * {weight}) {here} / sum({weight}) {here}"
 
 
+def _weighted_variance(column: str, level: int, weight: str) -> str:
+    here = f"FILTER ({cl.EXPOSURE} = {level})"
+    total = f"sum({weight}) {here}"
+    spread = f"sum({column} * {column} * {weight}) {here} / {total} - pow({_weighted_mean(column, level, weight)}, 2)"
+    return f"({spread}) / (1 - sum({weight} * {weight}) {here} / pow({total}, 2))"
+
+
 def _balance(column: str, stage: str) -> str:
     weight = "1.0" if stage == "before" else "w"
     binary = column not in ("age", "total_visits", "total_number_of_COVID_vaccine_doses")
@@ -658,8 +696,10 @@ def _balance(column: str, stage: str) -> str:
     sd = f"sqrt({p} * (1 - {p}))" if binary else f"stddev_samp({column}) FILTER ({cl.EXPOSURE} = 1)"
     return (
         f"SELECT '{column}' AS covariate, '{stage}' AS stage, {r6('m1')} AS mean_treated, {r6('m0')} AS mean_control, "
-        f"{r6('(m1 - m0) / sd')} AS smd, {r6('abs((m1 - m0) / sd)')} AS abs_smd, abs((m1 - m0) / sd) < 0.1 AS ok FROM "
-        f"(SELECT {_weighted_mean(column, 1, weight)} AS m1, {_weighted_mean(column, 0, weight)} AS m0, {sd} AS sd "
+        f"{r6('(m1 - m0) / sd')} AS smd, {r6('abs((m1 - m0) / sd)')} AS abs_smd, abs((m1 - m0) / sd) < 0.1 AS ok, "
+        f"{'CAST(NULL AS DOUBLE)' if binary else r6('v1 / v0')} AS variance_ratio FROM "
+        f"(SELECT {_weighted_mean(column, 1, weight)} AS m1, {_weighted_mean(column, 0, weight)} AS m0, {sd} AS sd, "
+        f"{_weighted_variance(column, 1, weight)} AS v1, {_weighted_variance(column, 0, weight)} AS v0 "
         "FROM weighted)"
     )
 
@@ -745,7 +785,7 @@ def model_texts() -> dict[str, str]:
         f"SELECT 'unmatched', {', '.join(f'{n} - {matched}' for n in sides.values())} FROM modelled",
         "modelled",
     )
-    out["ecdf_distances"] = sql(" UNION ALL ".join(_ecdf(c) for c in ECDF_COLUMNS), "modelled")
+    out["ecdf_distances"] = sql(" UNION ALL ".join(_ecdf(c) for c in cl.MATCH_COVARIATES), "modelled")
     weighted = sql("", "modelled").strip() + ", " + _STRATA
     out["balance_table"] = f"{weighted} " + " UNION ALL ".join(
         _balance(c, stage) for stage in ("before", "after") for c in cl.MATCH_COVARIATES

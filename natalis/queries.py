@@ -173,8 +173,8 @@ def window_bounds(spark, base):
 
 
 def _labels(spark, base, window):
-    labelled = flags.with_labels(_index_cohort(spark, base), oracle.SHOWN, [window])
-    return labelled.select("person_id", "date", *[flags.label_name(c, window) for c in oracle.SHOWN])
+    labelled = flags.with_labels(_index_cohort(spark, base), oracle.CONDITIONS, [window])
+    return labelled.select("person_id", "date", *[flags.label_name(c, window) for c in oracle.CONDITIONS])
 
 
 @query
@@ -189,9 +189,9 @@ def window_label_280d(spark, base):
 
 @query
 def window_dummies(spark, base):
-    labelled = flags.with_labels(_index_cohort(spark, base), oracle.SHOWN)
-    names = [flags.dummy_name(c, w, lb) for c in oracle.SHOWN for w in cl.WINDOWS for lb in w.labels]
-    return flags.with_dummies(labelled, oracle.SHOWN).select("person_id", "date", *names)
+    labelled = flags.with_labels(_index_cohort(spark, base), oracle.CONDITIONS)
+    names = [flags.dummy_name(c, w, lb) for c in oracle.CONDITIONS for w in cl.WINDOWS for lb in w.labels]
+    return flags.with_dummies(labelled, oracle.CONDITIONS).select("person_id", "date", *names)
 
 
 @query
@@ -296,6 +296,16 @@ def _with_any(spark, base) -> tuple[DataFrame, list[str]]:
     return features.combine_indicators(_summary(spark, base), combined), list(combined)
 
 
+def _with_history(df: DataFrame) -> DataFrame:
+    """The summary with its history and first-time-case columns beside the others."""
+    return cohort.exclude_prior(df.withColumns({n: F.col(o) for n, o in cl.HISTORY_COLUMNS.items()}), cl.INCIDENT_OUTCOMES)
+
+
+def _wide_columns(combined: Sequence[str]) -> list[str]:
+    extra = ["BMI_max_observed_or_calculated", "total_number_of_COVID_vaccine_doses"]
+    return [*cl.HISTORY_COLUMNS, *cl.INCIDENT_OUTCOMES, *combined, *oracle.INDICATORS, *extra]
+
+
 @query
 def any_of(spark, base):
     df, names = _with_any(spark, base)
@@ -305,8 +315,7 @@ def any_of(spark, base):
 @query
 def age_band_cohort(spark, base):
     df, names = _with_any(spark, base)
-    columns = ["person_id", "total_visits", "sex", "age", *names, "total_number_of_COVID_vaccine_doses"]
-    return cohort.age_band_cohort(df, columns)
+    return cohort.age_band_cohort(_with_history(df), [*cl.BASE_COLUMNS, *_wide_columns(names)])
 
 
 @query
@@ -340,9 +349,7 @@ def sex_female_flag(spark, base):
 @query
 def one_hot_extended(spark, base):
     df, names = _with_any(spark, base)
-    rest = [c for c in oracle.INDICATORS if not c.startswith(("depression", "delivery_mode"))]
-    columns = ["person_id", "total_visits", "age", "sex", "race", *names, *rest, "total_number_of_COVID_vaccine_doses"]
-    return features.encode_demographics(df, columns)
+    return features.encode_demographics(_with_history(df), [*cl.BASE_COLUMNS, *_wide_columns(names)])
 
 
 @query
@@ -382,8 +389,19 @@ def feature_variances(spark, base):
 def quasi_constant(spark, base):
     """Names of the indicator columns that survive the quasi-constant filter."""
     rolled = cohort.fused_rollup(fx.fact_day(spark, base), oracle.CONDITIONS)
-    table = features.variances(rolled, oracle.INDICATORS)
-    return table.filter(F.col("variance") > 0.01).select("feature")
+    return _names(features.drop_quasi_constant(rolled, oracle.INDICATORS), oracle.INDICATORS)
+
+
+def _names(df: DataFrame, of: Sequence[str]) -> DataFrame:
+    """The columns of ``df`` among those named, as rows."""
+    return df.sparkSession.createDataFrame([(c,) for c in of if c in df.columns], "feature string")
+
+
+@query
+def zero_variance(spark, base):
+    """Names of the indicator columns that are not constant."""
+    rolled = cohort.fused_rollup(fx.fact_day(spark, base), oracle.CONDITIONS)
+    return _names(features.drop_quasi_constant(rolled, oracle.INDICATORS, threshold=0.0), oracle.INDICATORS)
 
 
 @query
@@ -398,7 +416,7 @@ def corr_rounded(spark, base):
 
 @query
 def corr_drop(spark, base):
-    return correlate.correlated_columns(correlate.correlations(_summary(spark, base), oracle.CORR_COLUMNS), 0.55)
+    return correlate.correlated_columns(correlate.correlations(_summary(spark, base), oracle.CORR_COLUMNS))
 
 
 @query
@@ -416,8 +434,7 @@ def t_one_sample(spark, base):
 
 
 def _paired(spark, base, before):
-    result = hypothesis.t_paired(_history(spark, base), "postpartum_depression", before)
-    return rounded(result.drop("ci_low", "ci_high"))
+    return rounded(hypothesis.t_paired(_history(spark, base), "postpartum_depression", before))
 
 
 @query
@@ -461,9 +478,11 @@ def rank_sum_price(spark, base):
 
 
 def _exposure_table(spark, base) -> DataFrame:
-    """Log odds ratio of depression by exposure with its standard error, from the 2 x 2 counts."""
-    e, y = F.col("covid_diag_hist_1y_prior"), F.col("postpartum_depression")
-    cells = _history(spark, base).agg(
+    """Per outcome the log odds ratio of the exposure with its standard error, from the 2 x 2 counts."""
+    table = chains.model_table(_summary(spark, base))
+    e, y = F.col(cl.EXPOSURE), F.col("y")
+    entries = F.array(*[F.struct(F.lit(k).alias("dv"), F.col(v).alias("y")) for k, v in cl.OUTCOMES.items()])
+    cells = table.select(cl.EXPOSURE, F.explode(entries).alias("o")).select(cl.EXPOSURE, "o.*").groupBy("dv").agg(
         *[
             (F.count_if((e == i) & (y == j)) + 0.5).alias(name)
             for name, i, j in (("a", 1, 1), ("b", 1, 0), ("c", 0, 1), ("d", 0, 0))
@@ -471,7 +490,7 @@ def _exposure_table(spark, base) -> DataFrame:
     )
     a, b, c, d = (F.col(k) for k in "abcd")
     return cells.select(
-        F.lit("covid_diag_hist_1y_prior").alias("term"),
+        F.col("dv").alias("term"),
         F.log((a * d) / (b * c)).alias("estimate"),
         F.sqrt(1 / a + 1 / b + 1 / c + 1 / d).alias("std_error"),
     )
@@ -479,9 +498,7 @@ def _exposure_table(spark, base) -> DataFrame:
 
 @query
 def effect_size(spark, base):
-    table = _exposure_table(spark, base).select(
-        F.lit("depression by exposure").alias("dv"), F.lit("Model 1").alias("model"), "estimate"
-    )
+    table = _exposure_table(spark, base).select(F.col("term").alias("dv"), F.lit("Model 1").alias("model"), "estimate")
     return rounded(hypothesis.add_effect_size(table))
 
 
@@ -490,6 +507,29 @@ def wald_table(spark, base):
     return rounded(hypothesis.wald_table(_exposure_table(spark, base)))
 
 
+@query
+def age_report(spark, base):
+    """Age by ethnicity and the comparison of its two largest levels, as one table."""
+    levels, described, test = hypothesis.age_report(
+        _summary(spark, base), "White Non-Hispanic", "Hispanic or Latino Any Race"
+    )
+    none = F.lit(None).cast("double")
+    rows = described.join(levels, F.col("race_ethnicity").eqNullSafe(F.col("level"))).select(
+        F.lit("level").alias("section"),
+        F.col("race_ethnicity").alias("label"),
+        F.col("count").alias("n"),
+        "mean",
+        F.col("std").alias("sd"),
+        none.alias("t"),
+        none.alias("df"),
+        none.alias("p_value"),
+    )
+    gap = test.select(
+        F.lit("test"), F.lit("difference"), F.col("n1") + F.col("n2"), F.col("mean1") - F.col("mean2"), none, "t", "df", "p_value"
+    )
+    return rounded(rows.union(gap))
+
+
 def _loglik(hit, total):
     """Bernoulli log-likelihood of a cell at its own rate."""
     miss = total - hit
