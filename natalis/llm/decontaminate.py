@@ -30,10 +30,19 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seed(number: int, mask: Sequence[int], hashes: str, place: str) -> Column:
-    """Hash of the mask's number and the words under it. A mask that sticks out at the end gives NULL."""
-    inside = F.col(place) + mask[-1] < F.size(hashes)
-    return F.when(inside, F.xxhash64(F.lit(number), *[F.get(F.col(hashes), F.col(place) + at) for at in mask]))
+def _seeds(df: DataFrame, hashes: str, masks: Sequence[Sequence[int]], place: str) -> DataFrame:
+    """A row per place and mask, with the hash of the mask's number and the words under it as ``seed``.
+
+    A mask that sticks out at the end of the text hashes fewer words. ``_tick`` is a number that Spark may not
+    compute twice; a filter that uses it comes after the hash, which is so computed once and not at each use.
+    """
+    n, weight = len(masks), len(masks[0])
+    span = min(m[-1] for m in masks) + 1
+    steps = F.explode(F.sequence(F.lit(0), n * (F.size(hashes) - span + 1) - 1))
+    at, number = F.expr(f"_step div {n}").cast("int"), F.expr(f"_step % {n}")
+    words = [F.get(F.col(hashes), at + F.get(F.array(*[F.lit(m[j]) for m in masks]), number)) for j in range(weight)]
+    rows = df.withColumn("_step", steps)
+    return rows.withColumns({"seed": F.xxhash64(number, *words), place: at, "_mask": number, "_tick": F.monotonically_increasing_id()})
 
 
 def _around(hashes: str, place: str, window: int) -> Column:
@@ -42,28 +51,23 @@ def _around(hashes: str, place: str, window: int) -> Column:
     return F.slice(F.col(hashes), first + 1, F.col(place) + window - first)
 
 
-def _slots(seed: Column, bits: int) -> tuple[Column, Column]:
-    return F.pmod(seed, F.lit(bits)), F.pmod(F.shiftright(seed, 32), F.lit(bits))
+def _word_and_bits(seed: Column, words: int) -> tuple[Column, Column]:
+    """Where a seed is kept in the bit table: the word's number, and three bits of it."""
+    one = [
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(seed, at).bitwiseAND(F.lit(63)).cast("int")) for at in (0, 6, 12)
+    ]
+    return F.shiftright(seed, 20).bitwiseAND(F.lit(words - 1)).cast("int"), one[0].bitwiseOR(one[1]).bitwiseOR(one[2])
 
 
 def bit_table(seeds: DataFrame, bits: int = TABLE_BITS) -> DataFrame:
-    """One row with an array of ``bits / 64`` numbers, in which two bits per ``seed`` are set."""
-    slots = seeds.select(F.explode(F.array(*_slots(F.col("seed"), bits))).alias("slot"))
-    one = F.expr("shiftleft(1L, cast(slot % 64 as int))")
-    filled = slots.groupBy((F.col("slot") / 64).cast("long").alias("at")).agg(F.bit_or(one).alias("bits"))
+    """One row with an array of ``bits / 64`` numbers, a power of two, in which up to three bits per ``seed`` are set."""
+    at, pattern = _word_and_bits(F.col("seed"), bits // 64)
+    filled = seeds.groupBy(at.alias("at")).agg(F.bit_or(pattern).alias("bits"))
     every = seeds.sparkSession.range(bits // 64).join(filled, F.col("id") == F.col("at"), "left")
     ordered = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
     return every.agg(F.transform(ordered, lambda e: e["bits"]).alias("table"))
 
 
-def _set_in(table: Column, seed: Column, bits: int) -> Column:
-    tests = [
-        F.get(table, F.floor(slot / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))) != 0
-        for slot in _slots(seed, bits)
-    ]
-    return seed.isNotNull() & tests[0] & tests[1]
-
-
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -80,29 +84,18 @@ def overlaps(
 
     Positions count words from 0; the overlap runs from the first word of its first window to the end of its
     last. Texts of fewer than ``window`` words overlap nothing, so NULL and empty texts have no rows. Repeated
-    documents or items with one id count once; NULL ids are kept as such.
+    documents or items with one id count once; NULL ids are kept as such. All masks have equally many positions.
     """
-    span = min(m[-1] for m in masks) + 1
     items = benchmark.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col).cast("string")).alias("_b"))
-    items = items.filter(F.size("_b") >= window)
-    items = items.withColumn("_j", F.explode(F.sequence(F.lit(0), F.size("_b") - span)))
-    either = F.array(*[_seed(i, m, "_b", "_j") for i, m in enumerate(masks)])
-    seeds = items.select(
-        "_item", "_j", _around("_b", "_j", window).alias("_near_b"), F.explode(F.filter(either, lambda s: s.isNotNull())).alias("seed")
-    )
-    table = bit_table(seeds.select("seed"), bits).scalar()
+    reach = F.get(F.array(*[F.lit(m[-1]) for m in masks]), F.col("_mask"))
+    seeds = _seeds(items.filter(F.size("_b") >= window), "_b", masks, "_j").filter(F.col("_j") + reach < F.size("_b"))
+    seeds = seeds.select("seed", "_item", "_j", _around("_b", "_j", window).alias("_near_b"))
 
     words = docs.select(F.col(id_col).alias("_doc"), word_hashes(F.col(text_col).cast("string")).alias("_a"))
-    words = words.filter(F.size("_a") >= window)
-    places = words.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_a") - span)))
-    found = None
-    own = [_seed(i, m, "_a", "_i") for i, m in enumerate(masks)]
-    for seed in own:
-        test = _set_in(table, seed, bits)
-        found = test if found is None else found | test
-    hits = places.filter(found).select(
-        "_doc", "_i", _around("_a", "_i", window).alias("_near_a"), F.explode(F.filter(F.array(*own), lambda s: s.isNotNull())).alias("seed")
-    )
+    places = _seeds(words.filter(F.size("_a") >= window), "_a", masks, "_i")
+    at, pattern = _word_and_bits(F.col("seed"), bits // 64)
+    known = F.get(bit_table(seeds.select("seed"), bits).scalar(), at).bitwiseAND(pattern) == pattern
+    hits = places.filter(known & (F.col("_tick") >= 0)).select("seed", "_doc", "_i", _around("_a", "_i", window).alias("_near_a"))
     pairs = hits.join(seeds, "seed")
     # the hit's own place in either slice, then both slices from the same word before it
     at_a, at_b = F.least("_i", F.lit(window - 1)), F.least("_j", F.lit(window - 1))
