@@ -59,5 +59,9 @@ def logistic(eta: Column) -> Column:
 
 
 def hash_uniform(*columns: Column, seed: int = 42) -> Column:
-    """A number in [0, 1) that depends on the key and the seed only, not on the data's layout."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    """A number in [0, 1) that depends on the key and the seed only, not on the data's layout.
+
+    It is the first forty bits of the MD5 digest of the key's text, so that any SQL engine can state it too.
+    """
+    digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in columns], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 10), 16, 10).cast("double") / F.lit(float(1 << 40))

@@ -309,7 +309,11 @@ def _mixed_tables(spark, base, terms, outcomes: Mapping[str, str] = cl.OUTCOMES)
     for label, outcome in outcomes.items():
         fit = mixed.fit_mixed(table, outcome, terms)
         rows = fit.table(spark).select(
-            F.lit(label).alias("dv_label"), "*", F.lit(fit.sigma).alias("sigma"), F.lit(fit.loglik).alias("loglik")
+            F.lit(label).alias("dv_label"),
+            "*",
+            F.lit(fit.sigma).alias("sigma"),
+            F.lit(fit.loglik).alias("loglik"),
+            F.lit(fit.converged).alias("converged"),
         )
         out = rows if out is None else out.unionByName(rows)
     return rounded(out, 4)

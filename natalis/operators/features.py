@@ -17,17 +17,18 @@ def recode(df: DataFrame, column: str = "race", mapping: Mapping[str, str] = RAC
     return df.replace(dict(mapping), subset=[column])
 
 
-def discover_levels(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> dict[str, list[str]]:
-    """Levels of several columns from one job. A column with more than ``limit`` levels is an error."""
+def discover_levels(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
+    """Levels of several columns from one job. If a ``limit`` is given, a column with more levels is an error."""
     pairs = df.select(
         F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias(
             "p"
         )
     )
-    found = pairs.select("p.*").dropna().distinct().take(limit * len(columns) + 1)
+    distinct = pairs.select("p.*").dropna().distinct()
+    found = distinct.collect() if limit is None else distinct.take(limit * len(columns) + 1)
     levels = {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
-    wide = [c for c, v in levels.items() if len(v) > limit]
-    if wide or len(found) > limit * len(columns):
+    wide = [c for c, v in levels.items() if limit is not None and len(v) > limit]
+    if wide or (limit is not None and len(found) > limit * len(columns)):
         raise ValueError(f"too many levels for one-hot encoding: {wide or list(columns)}")
     return levels
 

@@ -22,6 +22,7 @@ from natalis.operators.hypothesis import likelihood_ratio, wald_table
 from natalis.sources.store import cut_lineage
 
 _MIN_LOG_SIGMA = -7.0
+_START_SIGMAS = (0.05, 0.15, 0.4, 1.0, 2.5)
 INTERCEPT = "(Intercept)"
 
 
@@ -156,14 +157,17 @@ class _Likelihood:
                     still.append(k)
             open_ = still
             if not open_:
-                break
-        return out
+                return out
+        raise RuntimeError(f"cluster modes have not converged in {limit} passes")
 
 
-def _scoring(lik: _Likelihood, beta: np.ndarray, u: np.ndarray, var: float, rounds: int = 30, tol: float = 1e-9):
+def _scoring(
+    lik: _Likelihood, beta: np.ndarray, u: np.ndarray, var: float, rounds: int = 30, tol: float = 1e-9, strict: bool = True
+):
     """Joint penalised scoring of fixed effects and modes at a fixed variance; at 0 plain logistic regression.
 
-    Returns the fixed effects, the modes, their information matrix and the last sums per cluster.
+    Returns the fixed effects, the modes, their information matrix and the last sums per cluster. If ``strict``,
+    not to converge is an error; otherwise the result is a starting point only.
     """
     q = lik.q
     rows, cols = np.triu_indices(q)
@@ -185,6 +189,9 @@ def _scoring(lik: _Likelihood, beta: np.ndarray, u: np.ndarray, var: float, roun
         beta = beta + move
         if var > 0:
             u = u + (pull - wx @ move) / curve
+    else:
+        if strict:
+            raise RuntimeError(f"the scoring has not converged in {rounds} passes")
     return beta, u, information, stats
 
 
@@ -243,14 +250,13 @@ def fit_mixed(
     outcome: str,
     terms: Sequence[str],
     group: str = "data_partner_id",
-    max_groups: int = 20_000,
     max_iter: int = 100,
     tol: float = 1e-9,
 ) -> MixedFit:
     """Fit ``outcome ~ terms + (1 | group)``; ``a*b`` in a term adds both columns and their product.
 
-    Rows with a missing value in any used column are left out. Clusters are sites: their number is
-    checked, as the driver holds a short row for each.
+    Rows with a missing value in any used column are left out. Clusters are sites, and the driver holds a short
+    row for each of them.
     """
     expanded, names = expand_terms(df, terms)
     used = expanded.selectExpr(f"`{group}`", f"`{outcome}`", *[f"CAST(`{t}` AS DOUBLE) AS `{t}`" for t in names])
@@ -276,10 +282,7 @@ def fit_mixed(
     constant = [t for t, s in zip(names, scale) if not s > 0]
     if constant:
         raise ValueError(f"constant terms cannot be fitted: {constant}")
-    found = table.select(group).distinct().limit(max_groups + 1).collect()
-    if len(found) > max_groups:
-        raise ValueError(f"more than {max_groups} clusters in {group}")
-    labels = sorted(r[0] for r in found)
+    labels = sorted(r[0] for r in table.select(group).distinct().collect())
 
     lik = _Likelihood(table, group, names, means, scale, labels)
     q = lik.q
@@ -288,12 +291,15 @@ def fit_mixed(
     plain[0] = np.log(share / (1.0 - share))
     none = np.zeros(lik.g)
     beta, _, information, stats = _scoring(lik, plain, none, 0.0)
-    # Slope of the likelihood in the variance at 0: clusters differ by more than chance only if it is positive.
-    excess = float(np.sum(stats[:, 0] ** 2 - stats[:, 1]))
-    singular = excess <= 0.0
+    flat = float(np.sum(stats[:, 3]))
+    # The likelihood may fall at variance 0 and rise later, so a few deviations are tried in the same passes.
+    tried = lik.evaluate([np.r_[beta, np.log(s)] for s in _START_SIGMAS], [none] * len(_START_SIGMAS))
+    best = int(np.argmax([t[0] for t in tried]))
+    excess = float(np.sum(stats[:, 0] ** 2 - stats[:, 1]))  # slope of the likelihood in the variance at 0
+    singular = excess <= 0.0 and tried[best][0] <= flat
     if not singular:
-        var = float(np.clip(excess / np.sum(stats[:, 1] ** 2), 0.01, 4.0))
-        beta, u, information, stats = _scoring(lik, beta, none, var, rounds=8, tol=1e-3)
+        var = _START_SIGMAS[best] ** 2
+        beta, u, information, stats = _scoring(lik, beta, tried[best][2], var, rounds=8, tol=1e-3, strict=False)
         curvature = np.zeros((q + 1, q + 1))
         curvature[:q, :q] = information
         curvature[q, q] = 2.0 * var * var * float(np.sum((stats[:, 1] / (1.0 + var * stats[:, 1])) ** 2)) + 1e-3

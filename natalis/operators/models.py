@@ -61,17 +61,19 @@ def ridge_logistic(
     c: float = 1.0,
     max_iter: int = 1000,
     tol: float = 1e-6,
-    newton_width: int = 300,
+    solver: str = "newton",
 ) -> LinearFit:
     """Logistic regression with the penalty ``|w|² / 2`` against ``c`` times the summed loss.
 
-    Up to ``newton_width`` features a fit takes a handful of Newton passes. Wider ones go to MLlib's
-    L-BFGS, which keeps only vectors: MLlib averages the loss over the summed weight, so that its
+    The ``newton`` solver takes a handful of passes and holds a square matrix of the features; ``lbfgs`` is
+    MLlib's, which keeps only vectors. MLlib averages the loss over the summed weight, so that its
     ``regParam`` is 1 / (c · total weight), the penalty on the raw scale and the intercept free.
     """
     columns = [*features, target, *([weight] if weight else [])]
     rows = complete_rows(df.select(*columns), columns)
-    if len(features) <= newton_width:
+    if solver not in ("newton", "lbfgs"):
+        raise ValueError(f"unknown solver: {solver}")
+    if solver == "newton":
         cells = rows.select(
             *features,
             F.col(target).cast("int").alias("cell"),

@@ -49,16 +49,15 @@ def _top_k(query: pd.DataFrame, member: pd.DataFrame, k: int) -> pd.DataFrame:
     return out[np.isfinite(out["d2"])]
 
 
-def nearest(points: DataFrame, k: int, max_pivots: int = 512, seed: int = 42) -> DataFrame:
-    """Rows (pid, nid, d2, rank) for a table (pid long, x array<double>) with unique ``pid``."""
+def nearest(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """Rows (pid, nid, d2, rank) for a table (pid long, x array<double>) with unique ``pid``.
+
+    The number of cells grows with the root of the number of points, so cells grow no faster than that either.
+    """
     points = points.select("pid", "x")
     total = points.count()
     ranked = Window.partitionBy("pid").orderBy("d2", "nid")
-    if total <= _BLOCK:
-        one = points.withColumn("block", F.lit(0)).groupBy("block")
-        best = one.applyInPandas(lambda p: _top_k(p, p, k), "pid long, nid long, d2 double")
-        return best.withColumn("rank", F.row_number().over(ranked))
-    n_pivots = int(min(max_pivots, max(1, np.sqrt(total) // 8)))
+    n_pivots = int(max(1, np.sqrt(total) // 8))
     chosen = points.orderBy(F.xxhash64("pid", F.lit(seed)), "pid").limit(n_pivots).collect()
     pivots = np.array([r["x"] for r in chosen])
     between = _distances(pivots, pivots)

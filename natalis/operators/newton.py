@@ -73,7 +73,8 @@ def ridge_grid(
     """Fits of ``label[k][cell]`` with weight ``n * factor[k][cell]`` for a table (features, cell, n).
 
     Penalty ``|w|² / 2`` against ``c`` times the loss, intercept free. A fit whose weighted cells all carry
-    one label is the constant of that label. A step that does not lower the loss is halved.
+    one label is the constant of that label. A step that does not lower the loss is halved. Fits that are still
+    moving after ``limit`` passes are an error.
     """
     fits, q = len(label), len(features) + 1
     seen = factor > 0
@@ -102,6 +103,8 @@ def ridge_grid(
                 betas[k] = betas[k] + move
                 still.append(k)
         open_ = still
+    if open_:
+        raise RuntimeError(f"{len(open_)} of {fits} fits have not converged in {limit} passes")
     out = []
     for k in range(fits):
         b = betas[k] if len(fixed[k]) == 2 else np.r_[50.0 if 1.0 in fixed[k] else -50.0, np.zeros(q - 1)]

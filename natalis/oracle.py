@@ -642,6 +642,11 @@ def core_texts() -> dict[str, str]:
     return out
 
 
+def hash_uniform(key: str, seed: int = 42) -> str:
+    """The split's uniform number of a key: forty bits of an MD5 digest."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', CAST({key} AS VARCHAR), '{seed}')), 1, 10) AS BIGINT) / {float(1 << 40)!r}"
+
+
 RISK_POINTS = (
     "CAST(age + 3 * total_visits + 4 * race_White + "
     "6 * OBESITY_1y_during_1y_prior_to_1st_delivery_indicator AS DOUBLE)"
@@ -713,6 +718,11 @@ def model_texts() -> dict[str, str]:
         _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"
     )
     out["propensity"] = sql(_observed_moments(cl.EXPOSURE, cl.MATCH_COVARIATES, "modelled", "true"), "modelled")
+    split = f"CASE WHEN {hash_uniform('person_id')} < 0.8 THEN 'train' ELSE 'test' END"
+    out["hash_split"] = sql(
+        f"SELECT {split} AS split, count(*) AS n_rows FROM flagged_groups GROUP BY 1", "flagged_groups"
+    )
+
     def loglik(hit: str, total: str) -> str:
         return (
             f"CASE WHEN {hit} > 0 THEN {hit} * ln({hit} / {total}) ELSE 0 END + "
