@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, packing, perspectives, quality, wordpiece
+from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, oracle, packing, perspectives, quality, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.TEXTS
 
 
 def query(fn: Query) -> Query:
