@@ -174,30 +174,28 @@ def permutation_importance(spark, base):
 # --- imbalance and bias ------------------------------------------------------------------------------
 
 
-def _class_sizes(df: DataFrame, *by: str) -> DataFrame:
-    return df.groupBy(*by).agg(F.count("*").alias("n"))
+def _made(df: DataFrame) -> DataFrame:
+    """The synthetic rows only."""
+    return rounded(df.filter("synthetic").drop("synthetic"))
 
 
 @query
 def smote(spark, base):
-    return _class_sizes(imbalance.smote(_groups(spark, base), LUNG_FEATURES, cl.LUNG), cl.LUNG)
+    return _made(imbalance.smote(_groups(spark, base), LUNG_FEATURES, cl.LUNG))
 
 
 @query
 def smote_by_group(spark, base):
     names = [c for c in LUNG_FEATURES if c != "race_privilege"]
-    made = imbalance.smote(_groups(spark, base), names, cl.LUNG, group="race_privilege")
-    return _class_sizes(made, cl.LUNG, "race_privilege")
+    return _made(imbalance.smote(_groups(spark, base), names, cl.LUNG, group="race_privilege"))
 
 
 @query
 def smote_embeddings(spark, base):
-    """Embedding vectors of every class brought to the size of the largest class."""
+    """New points that bring the embedding vectors of every class to the size of the largest class."""
     vectors = fx.read_table(spark, base, "embeddings")
-    width = len(vectors.select("embedding").first()[0])
-    names = [f"e{i}" for i in range(width)]
-    wide = vectors.selectExpr("label", *[f"embedding[{i}] AS {n}" for i, n in enumerate(names)])
-    return _class_sizes(imbalance.smote(wide, names, "label"), "label")
+    wide = vectors.selectExpr("label", *[f"embedding[{i}] AS {n}" for i, n in enumerate(oracle.EMBEDDING_NAMES)])
+    return _made(imbalance.smote(wide, oracle.EMBEDDING_NAMES, "label"))
 
 
 @query

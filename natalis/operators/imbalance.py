@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from natalis.functions.columns import hash_uniform
 from natalis.operators.filters import complete_rows
 from natalis.operators.neighbours import nearest
-from natalis.operators.ordering import running_totals
+from natalis.operators.ordering import number_rows, running_totals
 from natalis.sources.store import cut_lineage
 
 _CHUNK = 10_000
@@ -27,13 +27,11 @@ def _synthetic(rows: DataFrame, features: Sequence[str], n_rows: int, n_new: int
     """
     k = min(k, n_rows - 1)
     patterns = rows.groupBy(*features).agg(F.count("*").alias("m"))
-    patterns = cut_lineage(
-        patterns.select(
-            F.xxhash64(*features, F.lit(seed)).alias("pid"),
-            "m",
-            F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x"),
-        )
-    )
+    points = patterns.select("m", F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x"))
+    # numbered in an order that any engine can state: the digest of the values in millionths
+    text = F.array_join(F.transform("x", lambda v: F.round(v * 1_000_000).cast("bigint").cast("string")), "|")
+    named = cut_lineage(points.withColumn("_text", text))
+    patterns = cut_lineage(number_rows(named, "_text", out="pid", seed=seed).drop("_text"))
     other = patterns.select(F.col("pid").alias("nid"), F.col("m").alias("nm"), F.col("x").alias("nx"))
     upto = F.sum("nm").over(
         Window.partitionBy("pid").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -75,7 +73,6 @@ def smote(
     k: int = 5,
     seed: int = 42,
     group: str | None = None,
-    max_classes: int = 100,
     parallelism: int = 8,
 ) -> DataFrame:
     """All rows plus synthetic ones, so that every class is as large as the largest.
@@ -85,9 +82,7 @@ def smote(
     """
     by = [label] + ([group] if group else [])
     rows = complete_rows(df.select(*features, *by), [*features, *by])
-    counts = rows.groupBy(*by).count().limit(max_classes + 1).collect()
-    if len(counts) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
+    counts = rows.groupBy(*by).count().collect()  # a row per class
     largest = max(r["count"] for r in counts)
     numbers = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
     result = rows.selectExpr(*numbers, *[f"`{b}`" for b in by]).withColumn("synthetic", F.lit(False))

@@ -75,23 +75,32 @@ def running_totals(
 def number_rows(
     df: DataFrame, key: str, by: Sequence[str] = (), out: str = "row_no", buckets: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """Gap-free numbers from 0 per ``by`` group, in the order of a hash of ``key``.
+    """Gap-free numbers from 0 per ``by`` group, in the order of the MD5 digest of ``key`` and ``seed``.
 
-    Rows of a group are spread over hash buckets: a bucket's numbers start where the earlier buckets end.
-    A heavy group is so numbered by ``buckets`` tasks, and the order does not depend on the data's layout.
+    Rows of a group are spread over buckets, which are runs of that order: a bucket's numbers start where the
+    earlier buckets end. A heavy group is so numbered by ``buckets`` tasks, and the order does not depend on the
+    data's layout. A NULL is a ``by`` value like any other.
     """
     by = list(by)
     buckets = buckets or max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hashed = df.withColumn("_hash", F.xxhash64(F.col(key), F.lit(seed)))
-    hashed = hashed.withColumn("_bucket", F.pmod(F.shiftright("_hash", 8), F.lit(buckets)).cast("int"))
+    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
+    head = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long")
+    hashed = hashed.withColumn("_bucket", F.floor(head * buckets / F.lit(1 << 32)).cast("int"))
     counts = hashed.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
     before = (
         Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = counts.select(
+        *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)],
+        F.col("_bucket").alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+    )
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", key)
+    same = F.col("_bucket") == F.col("_of")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
     return (
-        hashed.join(starts, [*by, "_bucket"], "inner")
+        hashed.join(starts, same, "inner")
         .withColumn(out, F.col("_start") + F.row_number().over(inside) - 1)
-        .drop("_hash", "_bucket", "_start")
+        .drop("_hash", "_bucket", "_start", "_of", *[f"_by{i}" for i in range(len(by))])
     )

@@ -653,6 +653,43 @@ RISK_POINTS = (
 )
 
 
+EMBEDDING_NAMES = tuple(f"e{i}" for i in range(64))
+
+
+def _smote(steps: str, source: str, features, by, k: int = 5, seed: int = 42) -> str:
+    """Synthetic points by comparing all pairs of value patterns of a class."""
+    names, klass = ", ".join(features), ", ".join(by)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (*features, *by))
+    x = "[" + ", ".join(f"CAST({f} AS DOUBLE)" for f in features) + "]"
+    same = " AND ".join(f"a.{b} = b.{b}" for b in by)
+    text = "array_to_string(list_transform(x, lambda v: CAST(CAST(round(v * 1000000) AS BIGINT) AS VARCHAR)), '|')"
+    share = "CAST('0x' || substr(md5(concat_ws('|', CAST(pid AS VARCHAR), CAST(copy AS VARCHAR), '{seed}')), 1, 10) AS BIGINT)"
+    pick, along = (f"{share.format(seed=v)} / {float(1 << 40)!r}" for v in (seed, seed + 1))
+    values = ", ".join(
+        f"{r6(f'x[{i}] + (partner[{i}] - x[{i}]) * along')} AS {f}" for i, f in enumerate(features, start=1)
+    )
+    return (
+        f"{steps.strip()}, rows_ AS (SELECT {klass}, {names} FROM {source} WHERE {known}), "
+        f"sizes AS (SELECT {klass}, count(*) AS n, max(count(*)) OVER () AS largest FROM rows_ GROUP BY {klass}), "
+        f"raw AS (SELECT {klass}, {x} AS x, count(*) AS m FROM rows_ JOIN sizes USING ({klass}) WHERE n < largest "
+        f"GROUP BY {klass}, {names}), "
+        f"points AS (SELECT *, row_number() OVER (PARTITION BY {klass} ORDER BY md5({text} || '|{seed}')) - 1 AS pid FROM raw), "
+        f"planned AS (SELECT points.*, n, largest - n AS fresh, least({k}, n - 1) AS k, coalesce(sum(m) OVER (PARTITION BY {klass} "
+        f"ORDER BY pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM points JOIN sizes USING ({klass})), "
+        "ready AS (SELECT *, CAST(m * (fresh // n) + greatest(least(fresh % n - start, m), 0) AS BIGINT) AS copies FROM planned), "
+        f"pairs AS (SELECT {', '.join(f'a.{b}' for b in by)}, a.pid, b.pid AS nid, b.m AS nm, b.x AS nx, a.k, list_sum("
+        "list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2 FROM ready a "
+        f"JOIN ready b ON {same} AND a.pid <> b.pid), "
+        f"ranked AS (SELECT *, row_number() OVER (PARTITION BY {klass}, pid ORDER BY d2, nid) AS rank FROM pairs), "
+        f"near AS (SELECT {klass}, pid, nx, sum(nm) OVER (PARTITION BY {klass}, pid ORDER BY rank) AS upto FROM ranked WHERE rank <= k), "
+        f"lists AS (SELECT {klass}, pid, list({{'upto': upto, 'x': nx}} ORDER BY upto) AS near FROM near GROUP BY {klass}, pid), "
+        f"single AS (SELECT ready.*, near, unnest(range(copies)) AS copy FROM ready LEFT JOIN lists USING ({klass}, pid)), "
+        f"drawn AS (SELECT *, CAST(floor({pick} * k) AS BIGINT) - (m - 1) AS pick, {along} AS along FROM single), "
+        "mixed AS (SELECT *, CASE WHEN pick < 0 THEN x ELSE coalesce(list_filter(near, lambda e: e.upto > pick)[1].x, x) END "
+        f"AS partner FROM drawn) SELECT {klass}, {values} FROM mixed"
+    )
+
+
 def _observed_moments(target: str, features, source: str, where: str) -> str:
     rows = [f"SELECT '(Intercept)' AS term, {r6(f'sum({target})', 1)} AS moment FROM {source} WHERE {where}"]
     rows += [
@@ -711,7 +748,7 @@ def _balance(column: str, stage: str) -> str:
 
 def model_texts() -> dict[str, str]:
     out: dict[str, str] = {}
-    lung = [c for c in cl.COMORBIDITIES if c != cl.LUNG] + [cl.MORTALITY, "sex_privilege", "race_privilege", "age"]
+    lung = ["age", *[c for c in cl.COMORBIDITIES if c != cl.LUNG], cl.MORTALITY, "sex_privilege", "race_privilege"]
     out["lr_lung"] = sql(_observed_moments(cl.LUNG, lung, "flagged_groups", "true"), "flagged_groups")
     death = [*cl.COMORBIDITIES, "sex_privilege", "race_privilege", "age"]
     out["lr_mortality"] = sql(
@@ -752,12 +789,12 @@ def model_texts() -> dict[str, str]:
         "(race_privilege = 0) AS n_0, count(*) FILTER (race_privilege = 1) AS n_1 FROM scored GROUP BY y_pred)",
         "scored",
     )
-    biggest = "SELECT {by}, max(count(*)) OVER () AS n FROM {source} GROUP BY {by}"
-    out["smote"] = sql(biggest.format(by=cl.LUNG, source="flagged_groups"), "flagged_groups")
-    out["smote_by_group"] = sql(
-        biggest.format(by=f"{cl.LUNG}, race_privilege", source="flagged_groups"), "flagged_groups"
+    out["smote"] = _smote(sql("", "flagged_groups"), "flagged_groups", [*lung], [cl.LUNG])
+    out["smote_by_group"] = _smote(
+        sql("", "flagged_groups"), "flagged_groups", [c for c in lung if c != "race_privilege"], [cl.LUNG, "race_privilege"]
     )
-    out["smote_embeddings"] = biggest.format(by="label", source="embeddings")
+    wide = ", ".join(f"embedding[{i + 1}] AS {n}" for i, n in enumerate(EMBEDDING_NAMES))
+    out["smote_embeddings"] = _smote(f"WITH wide AS (SELECT label, {wide} FROM embeddings)", "wide", EMBEDDING_NAMES, ["label"])
     stages = []
     for stage, column in (("before", "y_pred"), ("after", "CAST(score >= 0.6 AS INT)")):
         cells = (
