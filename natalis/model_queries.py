@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -337,6 +338,40 @@ def glmm_interaction_full(spark, base):
     return _mixed_tables(spark, base, (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS))
 
 
+@query
+def glmm_likelihood(spark, base):
+    """Laplace log-likelihood of the reduced and the full model of each outcome at stated parameters."""
+    table = _model_table(spark, base)
+    rows = [
+        (label, model, mixed.log_likelihood(table, outcome, terms, oracle.stated_beta(terms), oracle.STATED_SIGMA))
+        for label, outcome in cl.OUTCOMES.items()
+        for model, terms in (("reduced", cl.REDUCED_TERMS), ("full", cl.FULL_TERMS))
+    ]
+    return rounded(spark.createDataFrame(rows, "dv_label string, model string, loglik double"), 4)
+
+
+@query
+def stated_curve(spark, base):
+    """Prediction curve of the interaction model at stated coefficients."""
+    table = _model_table(spark, base)
+    terms = (cl.EXPOSURE, "age", "race_White", f"{cl.EXPOSURE}:age")
+    spread = [0.01 * (i + 1) / (900 if t == "age" or ":" in t else 1) for i, t in enumerate(("", *terms))]
+    white = table.agg(F.avg("race_White")).first()[0]
+    fit = mixed.MixedFit(
+        terms=(mixed.INTERCEPT, *terms),
+        beta=np.array(oracle.stated_beta(terms)),
+        vcov=np.diag(spread),
+        sigma=oracle.STATED_SIGMA,
+        loglik=0.0,
+        n_rows=0,
+        n_groups=0,
+        passes=0,
+        converged=True,
+        means={"race_White": white},
+    )
+    return rounded(mixed.predicted_curve(table, fit, "age", cl.EXPOSURE))
+
+
 @query
 def predicted_curve(spark, base):
     """Curves of the three outcomes over age, for persons with two to eleven visits."""

@@ -245,6 +245,26 @@ def _curvature(lik: _Likelihood, theta: np.ndarray, u: np.ndarray, sens: np.ndar
     return -(hess + hess.T) / 2.0
 
 
+def _pattern_counts(df: DataFrame, outcome: str, terms: Sequence[str], group: str) -> tuple[DataFrame, list[str]]:
+    """Events ``s`` and rows ``n`` per cluster and covariate pattern, stored, and the expanded terms."""
+    expanded, names = expand_terms(df, terms)
+    used = expanded.selectExpr(f"`{group}`", f"`{outcome}`", *[f"CAST(`{t}` AS DOUBLE) AS `{t}`" for t in names])
+    used = complete_rows(used, used.columns)
+    keys = [group, *[f"`{t}`" for t in names]]
+    counts = used.groupBy(*keys).agg(F.sum(F.col(outcome).cast("double")).alias("s"), F.count("*").cast("double").alias("n"))
+    return cut_lineage(counts), names
+
+
+def log_likelihood(
+    df: DataFrame, outcome: str, terms: Sequence[str], beta: Sequence[float], sigma: float, group: str = "data_partner_id"
+) -> float:
+    """Laplace log-likelihood at given coefficients (intercept first) and a given positive deviation."""
+    table, names = _pattern_counts(df, outcome, terms, group)
+    labels = sorted(r[0] for r in table.select(group).distinct().collect())
+    lik = _Likelihood(table, group, names, np.zeros(len(names)), np.ones(len(names)), labels)
+    return lik.evaluate([np.r_[np.array(beta, dtype=float), np.log(sigma)]], [np.zeros(lik.g)])[0][0]
+
+
 def fit_mixed(
     df: DataFrame,
     outcome: str,
@@ -258,13 +278,7 @@ def fit_mixed(
     Rows with a missing value in any used column are left out. Clusters are sites, and the driver holds a short
     row for each of them.
     """
-    expanded, names = expand_terms(df, terms)
-    used = expanded.selectExpr(f"`{group}`", f"`{outcome}`", *[f"CAST(`{t}` AS DOUBLE) AS `{t}`" for t in names])
-    used = complete_rows(used, used.columns)
-    keys = [group, *[f"`{t}`" for t in names]]
-    table = cut_lineage(
-        used.groupBy(*keys).agg(F.sum(F.col(outcome).cast("double")).alias("s"), F.count("*").cast("double").alias("n"))
-    )
+    table, names = _pattern_counts(df, outcome, terms, group)
     head = table.agg(
         F.sum("n").alias("rows"),
         F.sum("s").alias("events"),

@@ -653,6 +653,62 @@ RISK_POINTS = (
 )
 
 
+# Coefficients at which the mixed models' likelihood and curves are checked.
+STATED_SIGMA = 0.6
+
+
+def stated_beta(terms) -> list[float]:
+    """An intercept and small coefficients of both signs, smaller for the wide-ranged columns."""
+    return [-1.2, *[(0.3 - 0.07 * i) / (30 if t == "age" else 10 if t == "total_visits" else 1) for i, t in enumerate(terms)]]
+
+
+def _likelihoods(rounds: int = 12) -> str:
+    """Newton steps for the cluster modes, one common table expression each, then the Laplace sum."""
+    parts = []
+    for label, y in cl.OUTCOMES.items():
+        for model, terms in (("reduced", cl.REDUCED_TERMS), ("full", cl.FULL_TERMS)):
+            b = stated_beta(terms)
+            eta = " + ".join([repr(b[0]), *(f"{v!r} * {t}" for v, t in zip(b[1:], terms))])
+            known = " AND ".join(f"{c} IS NOT NULL" for c in (y, cl.CLUSTER, *terms))
+            parts.append(
+                f"SELECT '{label}' AS dv_label, '{model}' AS model, {cl.CLUSTER} AS g, CAST({y} AS DOUBLE) AS y, {eta} AS eta "
+                f"FROM modelled WHERE {known}"
+            )
+    var = STATED_SIGMA**2
+    chain = [f"rows_ AS MATERIALIZED ({' UNION ALL '.join(parts)})", "u0 AS (SELECT DISTINCT dv_label, model, g, 0.0 AS u FROM rows_)"]
+    for i in range(1, rounds + 1):
+        chain.append(
+            f"u{i} AS MATERIALIZED (SELECT dv_label, model, g, u + (sum(y - p) - u / {var}) / (sum(p * (1 - p)) + 1 / {var}) AS u FROM "
+            f"(SELECT r.*, u, 1 / (1 + exp(-(eta + u))) AS p FROM rows_ r JOIN u{i - 1} USING (dv_label, model, g)) "
+            "GROUP BY dv_label, model, g, u)"
+        )
+    steps = sql("", "modelled").strip() + ", " + ", ".join(chain)
+    return (
+        f"{steps} SELECT dv_label, model, {r6('sum(part)', 4)} AS loglik FROM (SELECT dv_label, model, g, "
+        f"sum(y * (eta + u) - ln(1 + exp(eta + u))) - u * u / (2 * {var}) - 0.5 * ln(1 + {var} * sum(exp(eta + u) / "
+        f"pow(1 + exp(eta + u), 2))) AS part FROM rows_ JOIN u{rounds} USING (dv_label, model, g) GROUP BY dv_label, model, g, u) "
+        "GROUP BY dv_label, model"
+    )
+
+
+def _stated_curve() -> str:
+    """Curve over age by exposure from stated coefficients with independent errors, other terms at their means."""
+    terms = (cl.EXPOSURE, "age", "race_White", f"{cl.EXPOSURE}:age")
+    b = stated_beta(terms)
+    spread = [0.01 * (i + 1) / (900 if t == "age" or ":" in t else 1) for i, t in enumerate(("", *terms))]
+    x = ["1", "level", "x", "white", "level * x"]
+    eta = " + ".join(f"{v!r} * {t}" for v, t in zip(b, x))
+    var = " + ".join(f"{v!r} * pow({t}, 2)" for v, t in zip(spread, x))
+    logit = "1 / (1 + exp(-({})))"
+    return sql(
+        f"SELECT x, CASE WHEN level = 1 THEN 'Positive' ELSE 'Negative' END AS \"group\", {r6(logit.format('eta'))} AS predicted, "
+        f"{r6(logit.format('eta - 1.96 * sqrt(var)'))} AS conf_low, {r6(logit.format('eta + 1.96 * sqrt(var)'))} AS conf_high "
+        f"FROM (SELECT *, {eta} AS eta, {var} AS var FROM (SELECT DISTINCT CAST(age AS DOUBLE) AS x FROM modelled WHERE age IS NOT "
+        "NULL), (VALUES (0.0), (1.0)) l(level), (SELECT avg(race_White) AS white FROM modelled))",
+        "modelled",
+    )
+
+
 EMBEDDING_NAMES = tuple(f"e{i}" for i in range(64))
 
 
@@ -832,6 +888,8 @@ def model_texts() -> dict[str, str]:
         f"SELECT 'unmatched', {', '.join(f'{n} - {matched}' for n in sides.values())} FROM modelled",
         "modelled",
     )
+    out["glmm_likelihood"] = _likelihoods()
+    out["stated_curve"] = _stated_curve()
     out["ecdf_distances"] = sql(" UNION ALL ".join(_ecdf(c) for c in cl.MATCH_COVARIATES), "modelled")
     weighted = sql("", "modelled").strip() + ", " + _STRATA
     out["balance_table"] = f"{weighted} " + " UNION ALL ".join(
