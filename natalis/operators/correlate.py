@@ -6,55 +6,84 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_MOMENTS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+_ONE = "n double, mx double, my double, vx double, vy double, c double"
+_MOMENTS = f"i int, j int, {_ONE}"
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """Moments of two sets of rows together: counts, means, and sums of squared and mixed deviations."""
+    n = a["n"] + b["n"]
+    share = F.when(n > 0, b["n"] / n).otherwise(F.lit(0.0))
+    dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+    both = a["n"] * share
+    parts = {
+        "n": n,
+        "mx": a["mx"] + dx * share,
+        "my": a["my"] + dy * share,
+        "vx": a["vx"] + b["vx"] + dx * dx * both,
+        "vy": a["vy"] + b["vy"] + dy * dy * both,
+        "c": a["c"] + b["c"] + dx * dy * both,
+    }
+    return F.struct(*[v.alias(k) for k, v in parts.items()])
 
 
 def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Moments of every column pair i < j over the rows where both are present.
+    """Count, means and deviations of every column pair i < j over the rows where both are present.
 
-    A task folds its Arrow batches into p x p matrix products and emits one row per pair, so the shuffle
-    carries p² rows per task whatever the row count. Values are shifted by one observed row: correlation
-    does not change, and large means cannot swamp the variance.
+    A task folds its Arrow batches into p x p matrix products, shifted by the means of its first batch so that
+    large means cannot swamp the variance, and emits one row per pair. The tasks' moments are merged by pair.
     """
     names = list(columns)
     p = len(names)
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    first = numeric.head(1)
-    shift = np.array([0.0 if not first or v is None or np.isnan(v) else v for v in (first[0] if first else [0.0] * p)])
     upper = np.triu_indices(p, k=1)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((6, p, p))
+        sums, shift = np.zeros((6, p, p)), None
         for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan) - shift
+            x = batch.to_numpy(dtype="float64", na_value=np.nan)
             seen = ~np.isnan(x)
-            x = np.where(seen, x, 0.0)
+            if shift is None:
+                shift = np.where(seen, x, 0.0).sum(axis=0) / np.maximum(seen.sum(axis=0), 1)
+            x = np.where(seen, x - shift, 0.0)
             m = seen.astype("float64")
             sums += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
-        flat = {k: sums[i][upper] for i, k in enumerate(["n", "sx", "sy", "sxx", "syy", "sxy"])}
-        yield pd.DataFrame({"i": upper[0].astype("int32"), "j": upper[1].astype("int32"), **flat})
+        if shift is None:
+            return
+        n, sx, sy, sxx, syy, sxy = (s[upper] for s in sums)
+        k = np.maximum(n, 1.0)
+        yield pd.DataFrame(
+            {
+                "i": upper[0].astype("int32"),
+                "j": upper[1].astype("int32"),
+                "n": n,
+                "mx": sx / k + shift[upper[0]],
+                "my": sy / k + shift[upper[1]],
+                "vx": np.maximum(sxx - sx * sx / k, 0.0),
+                "vy": np.maximum(syy - sy * sy / k, 0.0),
+                "c": sxy - sx * sy / k,
+            }
+        )
 
-    return numeric.mapInPandas(fold, _MOMENTS).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
+    parts = numeric.mapInPandas(fold, _MOMENTS).groupBy("i", "j").agg(
+        F.collect_list(F.struct("n", "mx", "my", "vx", "vy", "c")).alias("parts")
     )
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mx", "my", "vx", "vy", "c")])
+    return parts.select("i", "j", F.reduce("parts", none, _merged).alias("m")).select("i", "j", "m.*")
 
 
 def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """Long upper triangle (feature_a, feature_b, n, r); r is NULL when a column is constant."""
     names = F.array(*[F.lit(c) for c in columns])
-    n = F.col("n")
-    cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
-    var_x = F.greatest(n * F.col("sxx") - F.col("sx") * F.col("sx"), F.lit(0.0))
-    var_y = F.greatest(n * F.col("syy") - F.col("sy") * F.col("sy"), F.lit(0.0))
-    r = F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y))
+    r = F.try_divide(F.col("c"), F.sqrt("vx") * F.sqrt("vy"))
     r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
     return pair_moments(df, columns).select(
         names[F.col("i")].alias("feature_a"),
         names[F.col("j")].alias("feature_b"),
-        n.cast("long").alias("n"),
+        F.col("n").cast("long").alias("n"),
         (F.round(r, digits) if digits is not None else r).alias("r"),
     )
 

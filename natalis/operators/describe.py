@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis.operators.ordering import running_totals
+from natalis.sources.store import cut_lineage
 
 
 def level_counts(df: DataFrame, column: str) -> DataFrame:
@@ -36,19 +37,18 @@ def describe_by_group(
 ) -> DataFrame:
     """Count, mean, sd, min, exact interpolated quantiles and max per group.
 
-    The scan only counts distinct values per group. Quantiles are picked from running totals of those
+    The scan only counts distinct values per group, and all else is taken from these counts. Quantiles are picked from running totals of those
     counts, so a group with a large share of the rows, or of distinct values, is not gathered.
     """
     value = F.col(column).cast("double")
     rows = df.filter(value.isNotNull())
-    base = rows.groupBy(group).agg(
-        F.count("*").alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    counts = cut_lineage(rows.groupBy(group, value.alias("_v")).agg(F.count("*").alias("_c")))
+    base = counts.groupBy(group).agg(
+        F.sum("_c").alias("count"),
+        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
     )
-    counts = rows.groupBy(group, value.alias("_v")).agg(F.count("*").alias("_c"))
     ranked = running_totals(counts, "_v", {"_below": "_c"}, by=[group])
     same_group = F.col(f"r.{group}").eqNullSafe(F.col(f"b.{group}"))
     placed = ranked.alias("r").join(base.alias("b"), same_group, "inner").select("b.*", "r._v", "r._c", "r._below")
@@ -58,7 +58,10 @@ def describe_by_group(
         for side, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             holds = (F.col("_below") <= at) & (at < F.col("_below") + F.col("_c"))
             picks.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}{i}"))
-    table = placed.groupBy(group, "count", "mean", "std", "min", "max").agg(*picks)
+    away = F.col("_v") - F.col("mean")
+    spread = F.sum(F.col("_c") * away * away)
+    std = F.when(F.col("count") > 1, F.sqrt(spread / (F.col("count") - 1))).alias("std")
+    table = placed.groupBy(group, "count", "mean", "min", "max").agg(*picks, std)
 
     def interpolated(i: int, q: float) -> Column:
         position = (F.col("count") - 1) * F.lit(float(q))

@@ -104,13 +104,15 @@ def before_after(
             F.struct(F.lit("after").alias("stage"), F.col(after).cast("int").alias("_pred")),
         )).alias("p")
     ).select(group, y, "p.*")
-    rates = group_rates(both, ["stage", group], y, "_pred")
-    cells = cell_counts(both, y, "_pred", ["stage"])
-    gaps = rates.groupBy("stage").agg(
+    cells = cell_counts(both, y, "_pred", ["stage", group]).withColumns(
+        {k: v for k, v in rate_columns().items() if k in ("ppp", "tpr", "fpr")}
+    )
+    stages = cells.groupBy("stage").agg(
+        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")],
         _gap("ppp").alias("demographic_parity_difference"),
         F.greatest(_gap("tpr"), _gap("fpr")).alias("equalized_odds_difference"),
     )
-    return cells.join(gaps, "stage").select(
+    return stages.select(
         "stage", "tn", "fp", "fn", "tp", rate_columns()["acc"].alias("accuracy"),
         "demographic_parity_difference", "equalized_odds_difference",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from natalis.functions.columns import ratio
 from natalis.operators.ordering import running_totals
+from natalis.sources.store import cut_lineage
 
 
 def outcome_counts(y: str = "y", pred: str = "y_pred") -> list[Column]:
@@ -97,14 +98,11 @@ def _ranked_scores(
 ) -> DataFrame:
     """Distinct scores with the class counts above each and the class totals of their group."""
     by = list(by)
-    counts = score_counts(df, y, score, by)
+    counts = cut_lineage(score_counts(df, y, score, by))  # the rows are read once; all that follows reads counts
     ranked = running_totals(counts, "threshold", {"pos_below": "pos", "neg_below": "neg"}, by=by, edges=edges)
-    totals = df.groupBy(*by).agg(
-        F.count_if(F.col(y) == 1).alias("all_pos"), F.count_if(F.col(y) == 0).alias("all_neg")
-    )
+    totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if not by:
-        row = totals.first()
-        placed = ranked.withColumns({"all_pos": F.lit(row["all_pos"]), "all_neg": F.lit(row["all_neg"])})
+        placed = ranked.withColumns({c: totals.select(c).scalar() for c in ("all_pos", "all_neg")})
     else:
         same = None
         for k in by:
