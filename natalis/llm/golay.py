@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from natalis.llm.components import connected_components
-from natalis.llm.shared import lowered_words_of, saved
+from natalis.llm.shared import bounded_batches, lowered_words_of, saved
 
 MAX_BITS = 4
 SHINGLE = 4
@@ -64,6 +64,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(id, fp): the fingerprint as a signed 64-bit number. One row per row of ``docs``."""
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         prints = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts))

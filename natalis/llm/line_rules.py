@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natalis.llm.shared import remainder_of_id
+from natalis.llm.shared import bounded_batches, remainder_of_id
 
 LINE_FEATURES = (
     "constant",
@@ -195,6 +195,7 @@ def fit(
     Of these, texts of more than ``lines`` lines are left out, so the driver holds a bounded number of lines. Rows
     whose id has crc32 remainder 0 stay unseen. An id with both labels counts as bad.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (remainder_of_id(id_col) != 0))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("int").alias("_good"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(documents)

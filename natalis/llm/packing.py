@@ -11,6 +11,7 @@ themselves are numbered within their length by Spark, in hash buckets, and look
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from natalis.llm.shared import saved
+from natalis.llm.shared import bounded_batches, saved
 from natalis.operators.ordering import number_rows
 
 WINDOW = 1024
@@ -110,12 +111,15 @@ def bpe_encoder(ranks_path: str, json_path: str, pattern: str) -> Callable[[str]
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
     fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    exact = Tokenizer.from_file(json_path)
-    special = [t.content for t in exact.get_added_tokens_decoder().values()]
+    with open(json_path, encoding="utf-8") as file:
+        special = [token["content"] for token in json.load(file).get("added_tokens", [])]
+    exact: list[Tokenizer] = []  # loaded when first needed
 
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):
-            return np.array(exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            if not exact:
+                exact.append(Tokenizer.from_file(json_path))
+            return np.array(exact[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.array(fast.encode_ordinary(text), dtype="<u4")
 
     return encode
@@ -140,6 +144,7 @@ def tokenise(
     Every document ends with one id ``END_ID``, so a NULL or empty text is a piece of length 1. Repeated rows
     are separate documents; a NULL id is kept. Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),

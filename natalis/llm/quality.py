@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from natalis.llm.shared import remainder_of_id, saved
+from natalis.llm.shared import bounded_batches, remainder_of_id, saved
 
 FEATURES = (
     "log_words",
@@ -157,6 +157,8 @@ def fit_moments(
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, features): the statistics of every whole text."""
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("array<double>")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([statistics(t) for t in texts], dtype=object)

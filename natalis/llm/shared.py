@@ -37,6 +37,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of at most 8 MB, so that a worker holds little beside its own tables.
+
+    This is a setting of the session and does not change results. A smaller number that the session has set stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def remainder_of_id(column: str | Column = "doc_id", modulus: int = 5) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``. A NULL id counts as the empty text."""
     column = F.col(column) if isinstance(column, str) else column

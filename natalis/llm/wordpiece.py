@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natalis.llm.shared import words_of
+from natalis.llm.shared import bounded_batches, words_of
 
 _CACHED_WORDS = 200_000
 
@@ -132,6 +132,7 @@ def token_counts(
 
     NULL, empty and blank texts have zeros. Repeated rows are counted each; NULL ids are kept.
     """
+    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("n_words bigint, n_tokens bigint, max_word_tokens bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
