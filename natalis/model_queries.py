@@ -199,30 +199,72 @@ def smote_embeddings(spark, base):
     return _made(imbalance.smote(wide, oracle.EMBEDDING_NAMES, "label"))
 
 
-@query
-def smote_report(spark, base):
-    """Test report of the lung model trained on the over-sampled train part."""
+def _oversampled(spark, base) -> DataFrame:
+    """All rows with split and the prediction of the lung model trained on the over-sampled train part."""
     marked = cut_lineage(models.with_split(_groups(spark, base), "person_id"))
     made = imbalance.smote(marked.filter(F.col("split") == "train"), LUNG_FEATURES, cl.LUNG)
     fit = models.ridge_logistic(models.patterns(made, [*LUNG_FEATURES, cl.LUNG]), LUNG_FEATURES, cl.LUNG, weight="n")
-    test = fit.transform(marked.filter(F.col("split") == "test")).withColumn("y", F.col(cl.LUNG))
-    return rounded(metrics.classification_report(test), 4)
+    return fit.transform(marked).withColumn("y", F.col(cl.LUNG))
+
+
+@query
+def smote_predictions(spark, base):
+    return rounded(_oversampled(spark, base).select("person_id", "split", "y", "y_pred", "score"))
+
+
+@query
+def smote_report(spark, base):
+    return rounded(metrics.classification_report(_oversampled(spark, base).filter(F.col("split") == "test")), 4)
+
+
+def _reweighted(spark, base) -> tuple[mitigate.ReweightedFit, DataFrame]:
+    marked = cut_lineage(models.with_split(_groups(spark, base), "person_id"))
+    train = marked.filter(F.col("split") == "train")
+    return mitigate.reweighted_logistic(train, LUNG_FEATURES, cl.LUNG, ["sex_privilege", "race_privilege"]), marked
 
 
 @query
 def reweight_grid(spark, base):
-    train = models.with_split(_groups(spark, base), "person_id").filter(F.col("split") == "train")
-    fit = mitigate.reweighted_logistic(train, LUNG_FEATURES, cl.LUNG, ["sex_privilege", "race_privilege"])
-    return rounded(fit.table)
+    return rounded(_reweighted(spark, base)[0].table)
 
 
 @query
-def equalized_odds(spark, base):
-    scored, _ = _scored_patients(spark, base)
-    scored = cut_lineage(scored)
+def reweight_predictions(spark, base):
+    """Predictions of the chosen fit for all rows."""
+    fit, marked = _reweighted(spark, base)
+    return fit.best.transform(marked, probability=None).select("person_id", "split", F.col(cl.LUNG).alias("y"), "y_pred")
+
+
+@query
+def reweight_report(spark, base):
+    """Test report of the chosen fit."""
+    fit, marked = _reweighted(spark, base)
+    test = fit.best.transform(marked.filter(F.col("split") == "test")).withColumn("y", F.col(cl.LUNG))
+    return rounded(metrics.classification_report(test))
+
+
+def _equalized(spark, base) -> tuple[mitigate.OddsRule, DataFrame]:
+    scored = cut_lineage(_scored_patients(spark, base)[0])
     rule = mitigate.equalized_odds_rule(scored.filter(F.col("split") == "train"), "y", "score", "race_privilege")
-    test = rule.apply(scored.filter(F.col("split") == "test"), "score", "person_id")
-    return rounded(fairness.before_after(test, "race_privilege"))
+    return rule, rule.apply(scored, "score", "person_id")
+
+
+@query
+def equalized_odds(spark, base):
+    done = _equalized(spark, base)[1]
+    return rounded(fairness.before_after(done.filter(F.col("split") == "test"), "race_privilege"))
+
+
+@query
+def equalized_odds_rule(spark, base):
+    """Thresholds and chances per group."""
+    return rounded(_equalized(spark, base)[0].table(spark))
+
+
+@query
+def equalized_odds_predictions(spark, base):
+    """Predictions before and after the rule for all rows."""
+    return _equalized(spark, base)[1].select("person_id", "split", "y", "y_pred", "y_pred_post")
 
 
 @query
