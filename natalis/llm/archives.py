@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from natalis.llm.shared import fresh_path, saved
+from natalis.llm.shared import bounded_batches, fresh_path, saved
 
 PACKAGE_BYTES = 32 << 20
 READ_BLOCK = 8 << 20
@@ -211,6 +211,7 @@ def write_packages(
     payload, a NULL id is smaller than any other. Each task fills packages of about ``package_bytes``, so it holds one
     at a time.
     """
+    bounded_batches(pages.sparkSession)
     payload = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload"))
@@ -298,7 +299,9 @@ def read_records(packages: DataFrame, path_col: str = "path", block: int = READ_
     forward through its part. A revisit has no payload; its size is the one its HTTP header states.
     """
     places = locate(packages, path_col).withColumn("_block", F.floor(F.col("start") / block))
-    dealt = places.repartition("path", "_block").sortWithinPartitions("path", "start")
+    # a fixed number of parts: by the size of these short rows alone Spark would join them into too few tasks
+    parts = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = places.repartition(parts, "path", "_block").sortWithinPartitions("path", "start")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         opened, file = None, None
