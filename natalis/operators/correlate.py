@@ -76,7 +76,10 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Long upper triangle (feature_a, feature_b, n, r); r is NULL when a column is constant."""
+    """Long upper triangle (feature_a, feature_b, n, r); r is NULL when a column is constant.
+
+    Before it is rounded to ``digits``, r is rounded to twelve, so that ties do not hang on the order of a sum.
+    """
     names = F.array(*[F.lit(c) for c in columns])
     r = F.try_divide(F.col("c"), F.sqrt("vx") * F.sqrt("vy"))
     r = F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
@@ -84,7 +87,7 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = Non
         names[F.col("i")].alias("feature_a"),
         names[F.col("j")].alias("feature_b"),
         F.col("n").cast("long").alias("n"),
-        (F.round(r, digits) if digits is not None else r).alias("r"),
+        (F.round(F.round(r, 12), digits) if digits is not None else r).alias("r"),
     )
 
 

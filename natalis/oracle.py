@@ -235,7 +235,7 @@ CORR_COLUMNS = ("age", "total_visits", "BMI_max_observed_or_calculated", "total_
 def _corr(digits: int = 6) -> str:
     """Every pair of columns, over the rows where both are known; NULL where one of them is constant."""
     entries = ", ".join(f"{{'k': {i}, 'f': '{c}', 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(CORR_COLUMNS))
-    r = r6("CASE WHEN min(a.v) < max(a.v) AND min(b.v) < max(b.v) THEN corr(a.v, b.v) END", digits)
+    r = r6("CASE WHEN min(a.v) < max(a.v) AND min(b.v) < max(b.v) THEN round(corr(a.v, b.v), 12) END", digits)
     return (
         f"SELECT a.f AS feature_a, b.f AS feature_b, count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) AS n, {r} AS r "
         "FROM long a JOIN long b ON a.person_id = b.person_id AND a.k < b.k GROUP BY a.f, b.f"
