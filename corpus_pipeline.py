@@ -26,8 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def content_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the line rules."""
-    return line_rules.keep_content(docs, _table(spark, sf_dir, "labels"))
+    """Documents that pass the line rules, by the field that is fitted on labelled rows of the unfiltered table."""
+    return line_rules.keep_content(docs, _table(spark, sf_dir, "labels"), examples=_table(spark, sf_dir, "documents"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,6 +278,12 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col), verdict(field, text_col).alias("_v")).select(id_col, "_v.*")
 
 
-def keep_content(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Texts are not shuffled for it."""
-    return docs.filter(verdict(fit(docs, labels, id_col, text_col), text_col)["kept"])
+def keep_content(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", examples: DataFrame | None = None
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns. Texts are not shuffled for it.
+
+    The field is fitted on the labelled rows of ``examples``, by default of ``docs``. If ``docs`` has been filtered by
+    quality before, few of its rows show boilerplate, and ``examples`` should be the unfiltered table.
+    """
+    return docs.filter(verdict(fit(docs if examples is None else examples, labels, id_col, text_col), text_col)["kept"])

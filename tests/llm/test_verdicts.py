@@ -181,3 +181,21 @@ def test_stages_take_odd_tables(spark):
             out = stage(spark, table, BASE)
             assert name == "packing" or out.columns == docs.columns
             assert out.count() >= 0
+
+
+def test_line_rules_stage_has_the_verdicts_of_the_whole_table(spark):
+    """Rows that the quality stage has kept are judged as among all rows, and planted boilerplate is rejected."""
+    docs = spark.read.parquet(f"{BASE}/documents.parquet")
+    labels = spark.read.parquet(f"{BASE}/labels.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    whole = line_rules.judged(docs, labels)
+    good = labels.filter("quality = 1").select("doc_id")
+    bad = whole.join(labels.filter("quality = 0"), "doc_id").filter("not base_failed and not kept").select("doc_id")
+    assert bad.count() > 0
+    kept = steps["rules"](spark, docs.join(good, "doc_id", "left_semi"), BASE)
+    want = whole.join(good, "doc_id", "left_semi").filter("kept")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in want.collect())
+    # boilerplate under ids without a label, among good rows only
+    planted = docs.join(bad, "doc_id", "left_semi").withColumn("doc_id", -1 - F.col("doc_id")).select(*docs.columns)
+    mixed = docs.join(good, "doc_id", "left_semi").select(*docs.columns).unionByName(planted)
+    assert steps["rules"](spark, mixed, BASE).filter("doc_id < 0").count() == 0
