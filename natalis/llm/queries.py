@@ -76,7 +76,7 @@ def op8_token_counts(spark, base):
 
 @query
 def op9_lm_score(spark, base):
-    return mixing.scored(table(spark, base, "documents"))
+    return mixing.scored(table(spark, base, "documents"), learn=True)
 
 
 @query
