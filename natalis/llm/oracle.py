@@ -60,4 +60,27 @@ SELECT conv_id, perspective, position, turn, role, name, segment, start, start +
 FROM placed
 """
 
-TEXTS = {"op1_decontaminate": DECONTAMINATE, "op3_perspectives": PERSPECTIVES}
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+pairs AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_sum([coalesce(p[1] * p[2], 0) for p in list_zip(a.c, b.c)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r
+),
+near AS (
+  SELECT ar, anchor_id, br, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id NULLS LAST, br) <= 5
+)
+SELECT n.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY n.ar, n.br ORDER BY p.score DESC, p.id NULLS LAST, p.br) AS INTEGER) AS rank,
+  p.id AS negative_id, positive_score, p.score AS negative_score
+FROM near n JOIN pairs p ON n.ar = p.ar AND NOT p.same AND 30 * positive_score <= 100 * p.score AND 100 * p.score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY n.ar, n.br ORDER BY p.score DESC, p.id NULLS LAST, p.br) <= 10
+"""
+
+TEXTS = {"op11_hard_negatives": HARD_NEGATIVES, "op1_decontaminate": DECONTAMINATE, "op3_perspectives": PERSPECTIVES}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, oracle, packing, perspectives, quality, wordpiece
+from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, negatives, oracle, packing, perspectives, quality, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -83,3 +83,9 @@ def op9_lm_score(spark, base):
 def op10_simhash(spark, base):
     found = golay.near_duplicates(table(spark, base, "documents"))
     return found.select("doc_id", golay.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query
+def op11_hard_negatives(spark, base):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(table(spark, base, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
