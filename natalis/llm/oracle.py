@@ -83,4 +83,49 @@ FROM near n JOIN pairs p ON n.ar = p.ar AND NOT p.same AND 30 * positive_score <
 QUALIFY row_number() OVER (PARTITION BY n.ar, n.br ORDER BY p.score DESC, p.id NULLS LAST, p.br) <= 10
 """
 
-TEXTS = {"op11_hard_negatives": HARD_NEGATIVES, "op1_decontaminate": DECONTAMINATE, "op3_perspectives": PERSPECTIVES}
+SUBSTRINGS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+windows AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM places),
+least AS (SELECT h, min(doc_id) AS first FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT r, i + k AS i FROM windows JOIN least USING (h), range(50) t(k) WHERE doc_id > first),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+COLLOCATIONS = r"""
+WITH lowered AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+),
+pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM lowered),
+words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 5) r(k)),
+grams AS MATERIALIZED (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL),
+sizes AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 30),
+cut_at AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+parts AS (SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS x, array_to_string(w[cut + 1:], ' ') AS y FROM cut_at),
+cuts AS (
+  SELECT p.lang, p.phrase, a, cut, g.f AS l, h.f AS r, CAST((CAST(2000000 AS HUGEINT) * a) // (CAST(g.f AS HUGEINT) + h.f) AS BIGINT) AS score
+  FROM parts p JOIN grams g ON g.lang = p.lang AND g.phrase = x JOIN grams h ON h.lang = p.lang AND h.phrase = y
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates))
+  GROUP BY ALL
+),
+kept AS (
+  SELECT o.* FROM lowest o LEFT JOIN inner_phrases i USING (lang, phrase)
+  WHERE most IS NULL OR CAST(100 AS HUGEINT) * most < CAST(80 AS HUGEINT) * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, score
+FROM kept JOIN sizes USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+TEXTS = {"op13_collocations": COLLOCATIONS, "op12_substrings": SUBSTRINGS, "op11_hard_negatives": HARD_NEGATIVES, "op1_decontaminate": DECONTAMINATE, "op3_perspectives": PERSPECTIVES}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from natalis.llm import archives, decontaminate, golay, hilbert, line_rules, mixing, negatives, oracle, packing, perspectives, quality, wordpiece
+from natalis.llm import archives, collocations, decontaminate, golay, hilbert, line_rules, mixing, negatives, oracle, packing, perspectives, quality, substrings, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -89,3 +89,13 @@ def op10_simhash(spark, base):
 def op11_hard_negatives(spark, base):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mined(table(spark, base, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_substrings(spark, base):
+    return substrings.deduplicated(table(spark, base, "documents"))
+
+
+@query
+def op13_collocations(spark, base):
+    return collocations.mined(table(spark, base, "documents"))

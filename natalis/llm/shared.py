@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,3 +67,24 @@ def words_of(text: str | None) -> list[bytes]:
 def lowered_words_of(text: str | None) -> list[bytes]:
     """As ``words_of`` with A-Z, and only these, in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+class WordCodes(dict):
+    """64-bit codes of words; those of short words are kept, a bounded number of them."""
+
+    WORDS, BYTES = 200_000, 64
+
+    def __missing__(self, word: bytes) -> int:
+        code = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= self.BYTES:
+            if len(self) >= self.WORDS:
+                self.clear()
+            self[word] = code
+        return code
+
+
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit numbers, each bit of the result depending on all bits."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
