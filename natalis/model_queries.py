@@ -346,9 +346,9 @@ def ipw_rates(spark, base):
 
 def _mixed_tables(spark, base, terms, outcomes: Mapping[str, str] = cl.OUTCOMES) -> DataFrame:
     table = _model_table(spark, base)
+    fits = mixed.fit_models([mixed.Model(table, outcome, terms) for outcome in outcomes.values()])
     out = None
-    for label, outcome in outcomes.items():
-        fit = mixed.fit_mixed(table, outcome, terms)
+    for label, fit in zip(outcomes, fits):
         rows = fit.table(spark).select(
             F.lit(label).alias("dv_label"),
             "*",
@@ -384,11 +384,14 @@ def glmm_interaction_full(spark, base):
 def glmm_likelihood(spark, base):
     """Laplace log-likelihood of the reduced and the full model of each outcome at stated parameters."""
     table = _model_table(spark, base)
-    rows = [
-        (label, model, mixed.log_likelihood(table, outcome, terms, oracle.stated_beta(terms), oracle.STATED_SIGMA))
+    kinds = [
+        (label, model, mixed.Model(table, outcome, terms))
         for label, outcome in cl.OUTCOMES.items()
         for model, terms in (("reduced", cl.REDUCED_TERMS), ("full", cl.FULL_TERMS))
     ]
+    points = [(oracle.stated_beta(m.terms), oracle.STATED_SIGMA) for _, _, m in kinds]
+    values = mixed.log_likelihoods([m for _, _, m in kinds], points)
+    rows = [(label, model, value) for (label, model, _), value in zip(kinds, values)]
     return rounded(spark.createDataFrame(rows, "dv_label string, model string, loglik double"), 4)
 
 
@@ -418,9 +421,10 @@ def stated_curve(spark, base):
 def predicted_curve(spark, base):
     """Curves of the three outcomes over age, for persons with two to eleven visits."""
     table = cut_lineage(filters.visits_between(_model_table(spark, base), 2, 12))
+    terms = (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS)
+    fits = mixed.fit_models([mixed.Model(table, outcome, terms) for outcome in cl.OUTCOMES.values()])
     out = None
-    for label, outcome in cl.OUTCOMES.items():
-        fit = mixed.fit_mixed(table, outcome, (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS))
+    for label, fit in zip(cl.OUTCOMES, fits):
         curve = mixed.predicted_curve(table, fit, "age", cl.EXPOSURE).withColumn("dv_label", F.lit(label))
         out = curve if out is None else out.unionByName(curve)
     return rounded(out, 4)

@@ -73,6 +73,61 @@ def test_equal_clusters_give_plain_logistic_regression(spark, patients):
     assert fit.beta == pytest.approx([plain.intercept, *plain.weights.values()], abs=1e-5)
 
 
+def test_clusters_larger_than_a_block(spark, patients, monkeypatch):
+    """Modes in a Spark table give what modes inside a block give."""
+    _, df = patients
+    whole = mixed.fit_mixed(df, "y", ["e", "age"], group="g")
+    monkeypatch.setattr(mixed, "BLOCK_PATTERNS", 20)
+    monkeypatch.setattr(mixed, "MOST_PATTERNS", 59)
+    point = [(np.array([-1.0, 0.4, 0.02]), 0.7)]
+    spread = mixed.log_likelihoods([mixed.Model(df, "y", ["e", "age"])], point, group="g")
+    monkeypatch.setattr(mixed, "MOST_PATTERNS", 10**6)
+    assert spread == pytest.approx(mixed.log_likelihoods([mixed.Model(df, "y", ["e", "age"])], point, group="g"), abs=1e-8)
+    small_blocks = mixed.fit_mixed(df, "y", ["e", "age"], group="g")
+    assert small_blocks.beta == pytest.approx(whole.beta, abs=1e-7) and small_blocks.n_groups == whole.n_groups == 12
+    assert small_blocks.loglik == pytest.approx(whole.loglik, abs=1e-8) and small_blocks.sigma == pytest.approx(whole.sigma, abs=1e-6)
+
+
+def test_fit_with_spread_clusters(spark, patients, monkeypatch):
+    frame, df = patients
+    few = df.filter("age < 30")
+    whole = mixed.fit_mixed(few, "y", ["e"], group="g")
+    monkeypatch.setattr(mixed, "MOST_PATTERNS", 1)
+    spread = mixed.fit_mixed(few.filter("g < 3 OR e = 0"), "y", ["e"], group="g", max_iter=3)
+    assert spread.n_groups == 12 and spread.passes > 5
+    monkeypatch.setattr(mixed, "MOST_PATTERNS", 10**6)
+    again = mixed.fit_mixed(few.filter("g < 3 OR e = 0"), "y", ["e"], group="g", max_iter=3)
+    assert spread.beta == pytest.approx(again.beta, abs=1e-6) and spread.loglik == pytest.approx(again.loglik, abs=1e-7)
+    assert whole.n_rows == int((frame["age"] < 30).sum())
+
+
+def test_many_clusters(spark):
+    """Clusters of three rows; the driver holds sums only, and the fit is the maximum of an independent likelihood."""
+    rng = np.random.default_rng(11)
+    k = 30_000
+    g = np.repeat(np.arange(k), 3)
+    frame = pd.DataFrame({"g": g, "e": rng.integers(0, 2, 3 * k), "age": rng.integers(20, 24, 3 * k)})
+    eta = -1 + 0.5 * frame["e"] + 0.05 * (frame["age"] - 20) + rng.normal(0, 1.2, k)[g]
+    frame["y"] = (rng.random(3 * k) < 1 / (1 + np.exp(-eta))).astype(int)
+    fit = mixed.fit_mixed(spark.createDataFrame(frame), "y", ["e", "age"], group="g")
+    assert fit.converged and fit.n_groups == k and fit.sigma > 0.5
+    theta = np.r_[fit.beta, math.log(fit.sigma)]
+    best = laplace(theta, frame)
+    assert fit.loglik == pytest.approx(best, abs=1e-4)
+    for i, h in enumerate((0.02, 0.02, 0.001, 0.02)):
+        assert all(laplace(theta + sign * h * np.eye(4)[i], frame) < best for sign in (1, -1))
+
+
+def test_models_fitted_together_equal_models_fitted_alone(spark, patients):
+    _, df = patients
+    other = df.withColumn("z", (F.col("y") + F.col("e")) % 2)
+    together = mixed.fit_models([mixed.Model(df, "y", ["e"]), mixed.Model(other, "z", ["e", "age"])], group="g")
+    for fit, alone in zip(together, (mixed.fit_mixed(df, "y", ["e"], group="g"), mixed.fit_mixed(other, "z", ["e", "age"], group="g"))):
+        assert fit.beta == pytest.approx(alone.beta, abs=1e-8) and fit.loglik == pytest.approx(alone.loglik, abs=1e-8)
+    with pytest.raises(ValueError, match="does not vary"):
+        mixed.fit_mixed(df.withColumn("y", F.lit(0)), "y", ["e"], group="g")
+
+
 def test_nested_comparison(spark, patients):
     _, df = patients
     row = mixed.compare_nested(df, {"outcome": "y"}, ["e"], ["e", "age"], group="g").first()
