@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,52 +16,60 @@ from natalis.sources.store import cut_lineage
 _CHUNK = 10_000
 
 
-def _synthetic(rows: DataFrame, features: Sequence[str], n_rows: int, n_new: int, k: int, seed: int) -> DataFrame:
-    """``n_new`` points between rows of one class and their neighbours.
+def _synthetic(rows: DataFrame, features: Sequence[str], by: Sequence[str], k: int, seed: int) -> DataFrame:
+    """The new points of every class that is smaller than the largest, between its rows and their neighbours.
 
     Equal rows are handled once, with their number: a row's nearest neighbours are first its own copies,
     then other value patterns by distance, each as often as it occurs. New points are spread evenly over
     the rows, and which neighbour and how far along is a hash of the pattern and the copy number.
     """
-    k = min(k, n_rows - 1)
-    patterns = rows.groupBy(*features).agg(F.count("*").alias("m"))
-    points = patterns.select("m", F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x"))
+    by = list(by)
+    # names of its own, so that no class column meets a working column
+    keys = [f"_c{i}" for i in range(len(by))]
+    vector = F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x")
+    rows = rows.select(*[F.col(b).alias(c) for b, c in zip(by, keys)], *features)
+    patterns = rows.groupBy(*keys, *features).agg(F.count("*").alias("m"))
+    classes = cut_lineage(patterns.groupBy(*keys).agg(F.sum("m").alias("n")))
+    largest = classes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    classes = classes.filter(F.col("n") < largest).select(
+        *keys,
+        F.least(F.lit(k).cast("long"), F.col("n") - 1).alias("k"),
+        F.expr(f"({largest} - n) div n").alias("each"),
+        F.expr(f"({largest} - n) % n").alias("rest"),
+    )
+    points = patterns.select(*keys, "m", vector).join(classes.select(*keys), keys, "left_semi")
     # numbered in an order that any engine can state: the digest of the values in millionths
     text = F.array_join(F.transform("x", lambda v: F.round(v * 1_000_000).cast("bigint").cast("string")), "|")
     named = cut_lineage(points.withColumn("_text", text))
-    patterns = cut_lineage(number_rows(named, "_text", out="pid", seed=seed).drop("_text"))
-    other = patterns.select(F.col("pid").alias("nid"), F.col("m").alias("nm"), F.col("x").alias("nx"))
+    patterns = cut_lineage(number_rows(named, "_text", by=keys, out="pid", seed=seed).drop("_text"))
+    other = patterns.select(*keys, F.col("pid").alias("nid"), F.col("m").alias("nm"), F.col("x").alias("nx"))
     upto = F.sum("nm").over(
-        Window.partitionBy("pid").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*keys, "pid").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = nearest(patterns, k, seed=seed, by=keys).join(other, [*keys, "nid"]).withColumn("upto", upto)
+    lists = found.groupBy(*keys, "pid").agg(
+        F.sort_array(F.collect_list(F.struct("upto", F.col("nx").alias("x")))).alias("near")
     )
-    if k > 0:
-        found = nearest(patterns, k, seed=seed).join(other, "nid").withColumn("upto", upto)
-        lists = found.groupBy("pid").agg(
-            F.sort_array(F.collect_list(F.struct("upto", F.col("nx").alias("x")))).alias("near")
-        )
-        base = patterns.join(lists, "pid", "left")
-    else:
-        base = patterns.withColumn("near", F.lit(None).cast("array<struct<upto:bigint,x:array<double>>>"))
+    base = patterns.join(lists, [*keys, "pid"], "left")
 
-    each, rest = divmod(n_new, n_rows)
-    counted = running_totals(patterns.select("pid", "m"), "pid", {"start": "m"})
-    extra = F.greatest(F.least(F.lit(rest) - F.col("start"), F.col("m")), F.lit(0))
-    copies = counted.select("pid", (F.col("m") * each + extra).alias("copies")).filter(F.col("copies") > 0)
-    planned = base.join(copies, "pid")
+    counted = running_totals(patterns.select(*keys, "pid", "m"), "pid", {"start": "m"}, by=keys).join(classes, keys)
+    extra = F.greatest(F.least(F.col("rest") - F.col("start"), F.col("m")), F.lit(0))
+    copies = counted.select(*keys, "pid", "k", (F.col("m") * F.col("each") + extra).alias("copies")).filter(F.col("copies") > 0)
+    planned = base.join(copies, [*keys, "pid"])
     chunks = planned.withColumn(
         "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(_CHUNK).cast("long")))
-    ).repartition("pid", "at")
+    ).repartition(*keys, "pid", "at")
     single = chunks.withColumn(
         "copy", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + _CHUNK, F.col("copies")) - 1))
     )
-    pick = F.floor(hash_uniform(F.col("pid"), F.col("copy"), seed=seed) * k) - (F.col("m") - 1)
+    pick = F.floor(hash_uniform(F.col("pid"), F.col("copy"), seed=seed) * F.col("k")) - (F.col("m") - 1)
     along = hash_uniform(F.col("pid"), F.col("copy"), seed=seed + 1)
     partner = F.when(F.col("_pick") < 0, F.col("x")).otherwise(
         F.coalesce(F.filter("near", lambda e: e["upto"] > F.col("_pick"))[0]["x"], F.col("x"))
     )
-    points = single.withColumns({"_pick": pick, "_u": along}).select("x", partner.alias("_p"), "_u")
-    mixed = points.select(F.zip_with("x", "_p", lambda a, b: a + (b - a) * F.col("_u")).alias("x"))
-    return mixed.selectExpr(*[f"x[{i}] AS `{f}`" for i, f in enumerate(features)])
+    points = single.withColumns({"_pick": pick, "_u": along}).select(*keys, "x", partner.alias("_p"), "_u")
+    mixed = points.select(*keys, F.zip_with("x", "_p", lambda a, b: a + (b - a) * F.col("_u")).alias("x"))
+    return mixed.selectExpr(*[f"x[{i}] AS `{f}`" for i, f in enumerate(features)], *[f"`{c}` AS `{b}`" for b, c in zip(by, keys)])
 
 
 def smote(
@@ -73,32 +79,14 @@ def smote(
     k: int = 5,
     seed: int = 42,
     group: str | None = None,
-    parallelism: int = 8,
 ) -> DataFrame:
-    """All rows plus synthetic ones, so that every class is as large as the largest.
+    """All rows plus synthetic ones, so that every class is as large as the largest; one plan for all classes.
 
     With ``group`` a class is a pair of label and group value, which evens out groups within labels too.
     A class of a single row is repeated, as it has no neighbour.
     """
     by = [label] + ([group] if group else [])
     rows = complete_rows(df.select(*features, *by), [*features, *by])
-    counts = rows.groupBy(*by).count().collect()  # a row per class
-    largest = max(r["count"] for r in counts)
     numbers = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
-    result = rows.selectExpr(*numbers, *[f"`{b}`" for b in by]).withColumn("synthetic", F.lit(False))
-    kinds = dict(rows.dtypes)
-
-    def grow(r) -> DataFrame:
-        member = rows
-        for b in by:
-            member = member.filter(F.col(b) == F.lit(r[b]))
-        made = _synthetic(member.select(*features), features, r["count"], largest - r["count"], k, seed)
-        return made.withColumns({b: F.lit(r[b]).cast(kinds[b]) for b in by}).withColumn("synthetic", F.lit(True))
-
-    short = sorted((r for r in counts if r["count"] < largest), key=lambda r: tuple(str(r[b]) for b in by))
-    if short:
-        # the jobs of different classes do not depend on each other and share the cluster
-        with ThreadPool(min(parallelism, len(short))) as pool:
-            for made in pool.map(inheritable_thread_target(df.sparkSession)(grow), short):
-                result = result.unionByName(made)
-    return result
+    given = rows.selectExpr(*numbers, *[f"`{b}`" for b in by]).withColumn("synthetic", F.lit(False))
+    return given.unionByName(_synthetic(rows, features, by, k, seed).withColumn("synthetic", F.lit(True)))

@@ -1,29 +1,33 @@
-"""Exact k nearest neighbours of a table with itself, without comparing all pairs.
-
-Points are assigned to the nearest of a few pivots. A bound on every point's k-th neighbour distance
-follows from the pivots alone; the triangle inequality then leaves out the cells that cannot hold a
-neighbour. What remains is compared in blocks of bounded size, and the best k of all blocks are kept.
+"""Exact k nearest neighbours of a table with itself, or of each group with itself, without comparing all pairs.
+
+The points of a group form a metric tree: a cell with more points than a block holds is split by a few pivots, each
+point going to the nearest, and the parts are split again. The tree is a Spark table with a row per inner cell
+(pivots, radii and sizes of its parts), and points find their way by joins with it, so neither the driver nor a closure holds
+pivots. A point is first compared with its own leaf, which bounds the distance of its k-th neighbour; the triangle
+inequality then leaves out the parts that cannot hold a nearer one, level by level. All groups share the same
+joins: the plan does not depend on their number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from natalis.sources.store import cut_lineage
 
-_BLOCK = 2_000
+_BLOCK = 2_000  # points of a leaf, and queries that a task compares with one
+_FAN = 16
+_DRAWN = 64  # points drawn on average to choose the pivots of a cell from
 
 
-def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    out = np.empty((len(points), len(pivots)))
-    for j, pivot in enumerate(pivots):
-        out[:, j] = np.sqrt(((points - pivot) ** 2).sum(axis=1))
-    return out
+def _distance(a: Column, b: Column) -> Column:
+    squares = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda total, v: total + v))
 
 
 def _top_k(query: pd.DataFrame, member: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -49,89 +53,93 @@ def _top_k(query: pd.DataFrame, member: pd.DataFrame, k: int) -> pd.DataFrame:
     return out[np.isfinite(out["d2"])]
 
 
-def nearest(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
-    """Rows (pid, nid, d2, rank) for a table (pid long, x array<double>) with unique ``pid``.
+def _tree(points: DataFrame, keys: list[str], seed: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Points with the leaf they are in, the inner cells (keys, node, parts), and the number of levels."""
+    placed, inner, level = cut_lineage(points.withColumn("node", F.lit(""))), [], 0
+    cell = [*keys, "node"]
+    while True:
+        sizes = placed.groupBy(*cell).agg(F.count("*").alias("n")).filter(F.col("n") > _BLOCK)
+        sizes = cut_lineage(sizes)
+        if sizes.isEmpty():
+            return placed, reduce(DataFrame.unionByName, inner) if inner else None, level
+        level += 1
+        # a bounded number of points of each cell, whatever its size; other ones on each level
+        drawn = F.pmod(F.xxhash64("pid", F.lit(seed + level)), F.lit(1 << 30)) * F.col("n") < F.lit(float(_DRAWN << 30))
+        some = placed.join(sizes, cell).filter(drawn).groupBy(*cell)
+        pivots = some.agg(F.slice(F.sort_array(F.collect_list(F.struct(F.xxhash64("pid").alias("h"), "pid", "x"))), 1, _FAN)["x"].alias("pivots"))
+        near = F.transform("pivots", lambda p: _distance(F.col("x"), p))
+        split = placed.join(pivots, cell, "left").withColumn("near", near).withColumn("d", F.array_min("near"))
+        split = split.withColumn("part", F.array_position("near", F.col("d")).cast("int"))
+        child = F.when(F.col("part").isNull(), F.col("node")).otherwise(F.concat_ws(".", "node", F.col("part").cast("string")))
+        moved = cut_lineage(split.select(*keys, "pid", "x", F.col("node").alias("above"), child.alias("node"), "d", "part"))
+        parts = moved.filter(F.col("part").isNotNull()).groupBy(*keys, "above", "node", "part").agg(F.count("*").alias("n"), F.max("d").alias("radius"))
+        parts = parts.withColumnRenamed("node", "name").withColumnRenamed("above", "node").join(pivots, cell)
+        one = F.struct("name", "n", "radius", F.element_at("pivots", F.col("part")).alias("pivot"))
+        inner.append(cut_lineage(parts.groupBy(*cell).agg(F.collect_list(one).alias("parts"))))
+        placed = moved.select(*keys, "pid", "x", "node")
+
+
+def _opened(asking: DataFrame, tree: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """One level down: (keys, node, pid, x, own, bound, n) for the parts that may hold one of the k nearest."""
+    met = asking.join(tree, [*keys, "node"])
+    parts = F.transform("parts", lambda p: F.struct(p["name"].alias("name"), p["n"].alias("n"), p["radius"].alias("radius"), _distance(F.col("x"), p["pivot"]).alias("d")))
+    met = met.select(*keys, "pid", "x", "own", "bound", parts.alias("parts"))
+    # the nearest parts that hold k other points for sure
+    far = F.array_sort(F.transform("parts", lambda p: F.struct((p["d"] + p["radius"]).alias("far"), p["n"].alias("n"))))
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(float("inf")).alias("far"))
+    enough = F.aggregate(
+        far, start, lambda a, p: F.when(a["n"] > k, a).otherwise(F.struct((a["n"] + p["n"]).alias("n"), p["far"].alias("far")))
+    )
+    met = met.withColumns({"enough": enough, "least": F.array_min(F.transform("parts", lambda p: p["d"]))})
+    bound = F.when(F.col("enough.n") > k, F.least("bound", "enough.far")).otherwise(F.col("bound"))
+    met = met.withColumn("bound", bound).withColumn("p", F.explode("parts"))
+    reach = F.col("bound") * (1 + 1e-9) + 1e-9
+    # a point of a part is no farther from its pivot than from the others
+    open_ = (F.col("p.d") - F.col("p.radius") <= reach) & ((F.col("p.d") - F.col("least")) / 2 <= reach) & (F.col("p.name") != F.col("own"))
+    return met.filter(open_).select(*keys, F.col("p.name").alias("node"), "pid", "x", "own", "bound", F.col("p.n").alias("n"))
+
+
+def nearest(points: DataFrame, k: int, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by, pid, nid, d2, rank) for a table (by, pid long, x array<double>) with unique ``pid`` in each ``by`` group.
 
-    The number of cells grows with the root of the number of points, so cells grow no faster than that either.
+    The k nearest other points of the group come in the order of (distance, id); a smaller group has fewer. Equal points
+    should be handled once by the caller: points that cannot be told apart stay in one leaf, however many they are.
     """
-    points = points.select("pid", "x")
-    total = points.count()
-    ranked = Window.partitionBy("pid").orderBy("d2", "nid")
-    n_pivots = int(max(1, np.sqrt(total) // 8))
-    chosen = points.orderBy(F.xxhash64("pid", F.lit(seed)), "pid").limit(n_pivots).collect()
-    pivots = np.array([r["x"] for r in chosen])
-    between = _distances(pivots, pivots)
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                d = _distances(np.stack(batch["x"].to_list()), pivots)
-                cell = d.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), d0=d[np.arange(len(d)), cell])
-
-    placed = cut_lineage(points.mapInPandas(assign, "pid long, x array<double>, cell int, d0 double"))
-
-    def closest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for batch in batches:
-            both = batch if kept is None else pd.concat([kept, batch])
-            kept = both.sort_values("d0").groupby("cell").head(k + 1)
-        if kept is not None:
-            yield kept
-
-    def closest_of_cell(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.nsmallest(k + 1, "d0")
-
-    near = (
-        placed.select("cell", "d0")
-        .mapInPandas(closest, "cell int, d0 double")
-        .groupBy("cell")
-        .applyInPandas(closest_of_cell, "cell int, d0 double")
-        .collect()
-    )
-    sizes = {r["cell"]: (r["n"], r["r"]) for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("d0").alias("r")).collect()}
-    radius = np.array([sizes[c][1] if c in sizes else -np.inf for c in range(len(pivots))])
-    inner = np.full((len(pivots), k + 1), np.inf)
-    for c in sizes:
-        values = sorted(r["d0"] for r in near if r["cell"] == c)
-        inner[c, : len(values)] = values
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not len(batch):
-                continue
-            d = _distances(np.stack(batch["x"].to_list()), pivots)
-            own = batch["cell"].to_numpy()
-            reach = np.full(len(d), np.inf)
-            bounds = np.sort((d[:, :, None] + inner[None, :, :]).reshape(len(d), -1), axis=1)
-            reach = np.minimum(reach, bounds[:, k])[:, None]
-            slack = 1e-9 * (1.0 + np.where(np.isfinite(reach), reach, 0.0))
-            apart = between[own]
-            plane = (d**2 - batch["d0"].to_numpy()[:, None] ** 2) / np.where(apart > 0, 2.0 * apart, np.inf)
-            open_ = (d - radius[None, :] <= reach + slack) & (plane <= reach + slack) & np.isfinite(radius)[None, :]
-            row, cell = np.nonzero(open_)
-            yield pd.DataFrame(
-                {"pid": batch["pid"].to_numpy()[row], "x": batch["x"].to_numpy()[row], "cell": cell.astype("int32")}
-            )
-
-    routed = cut_lineage(placed.mapInPandas(route, "pid long, x array<double>, cell int"))
-    asked = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    cells = range(len(pivots))
-    member_parts = F.lit([-(-sizes.get(c, (1, 0))[0] // _BLOCK) for c in cells])
-    query_parts = F.lit([max(1, -(-asked.get(c, 1) // _BLOCK)) for c in cells])
-
-    def share(parts, salt: int):
-        return F.pmod(F.xxhash64("pid", F.lit(salt)), parts[F.col("cell")]).cast("int")
-
-    def every(parts):
-        return F.explode(F.sequence(F.lit(0), parts[F.col("cell")] - 1))
-
-    queries = routed.withColumn("qb", share(query_parts, 1)).withColumn("mb", every(member_parts))
-    members = placed.select("pid", "x", "cell").withColumn("mb", share(member_parts, 2)).withColumn("qb", every(query_parts))
-    keys = ["cell", "qb", "mb"]
-    best = (
-        queries.groupBy(*keys)
-        .cogroup(members.groupBy(*keys))
-        .applyInPandas(lambda q, m: _top_k(q, m, k), "pid long, nid long, d2 double")
-    )
-    return best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    by = list(by)
+    keys = [f"_by{i}" for i in range(len(by))]
+    kinds = dict(points.dtypes)
+    named = points.select(*[F.col(b).alias(key) for b, key in zip(by, keys)], "pid", "x")
+    columns = ", ".join([*(f"`{key}` {kinds[b]}" for b, key in zip(by, keys)), "pid long, nid long, d2 double"])
+    placed, tree, levels = _tree(named, keys, seed)
+    leaf = [*keys, "node"]
+
+    def compared(query: pd.DataFrame, member: pd.DataFrame) -> pd.DataFrame:
+        out = _top_k(query, member, k)
+        for key in keys:
+            out[key] = member[key].iloc[0] if len(member) else None
+        return out[[*keys, "pid", "nid", "d2"]]
+
+    best = cut_lineage(placed.groupBy(*leaf).applyInPandas(lambda own: compared(own, own), columns))
+    if levels:
+        bounds = best.groupBy(*keys, "pid").agg(F.count("*").alias("m"), F.sqrt(F.max("d2")).alias("d"))
+        bound = F.when(F.col("m") >= k, F.col("d")).otherwise(F.lit(float("inf")))
+        asking = placed.withColumnRenamed("node", "own").join(bounds, [*keys, "pid"], "left")
+        asking = asking.select(*keys, F.lit("").alias("node"), "pid", "x", "own", F.coalesce(bound, F.lit(float("inf"))).alias("bound"))
+        reached = []
+        for _ in range(levels):
+            opened = cut_lineage(_opened(asking, tree, keys, k))
+            reached.append(opened.filter(F.col("n") <= _BLOCK).select(*leaf, "pid", "x"))
+            asking = opened.filter(F.col("n") > _BLOCK).drop("n")
+        routed = reduce(DataFrame.unionByName, reached)
+        asked = routed.groupBy(*leaf).agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("parts"))
+        queries = routed.join(asked, leaf).withColumn("part", F.pmod(F.xxhash64("pid"), F.col("parts")).cast("int"))
+        members = placed.join(asked, leaf).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cells = [*leaf, "part"]
+        # both sides come from one table, so one of them gets other names
+        asked = queries.select(*[F.col(c).alias(f"q{c}") for c in cells], F.col("pid").alias("qpid"), F.col("x").alias("qx"))
+        both = asked.groupBy(*[f"q{c}" for c in cells]).cogroup(members.select(*cells, "pid", "x").groupBy(*cells))
+        more = both.applyInPandas(lambda q, m: compared(q.rename(columns={"qpid": "pid", "qx": "x"}), m), columns)
+        best = best.unionByName(more)
+    ranked = Window.partitionBy(*keys, "pid").orderBy("d2", "nid")
+    best = best.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    return best.select(*[F.col(key).alias(b) for b, key in zip(by, keys)], "pid", "nid", "d2", "rank")

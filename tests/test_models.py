@@ -211,6 +211,46 @@ def test_matching_end_to_end(spark):
     assert matched.count() == 2 * len(pairs)
 
 
+@pytest.mark.parametrize("block", [8, 150])
+def test_neighbours_of_groups_in_one_tree(spark, monkeypatch, block):
+    """Groups of very different sizes, some of one point, split over several levels."""
+    monkeypatch.setattr(neighbours, "_BLOCK", block)
+    monkeypatch.setattr(neighbours, "_FAN", 4)
+    rng = np.random.default_rng(block)
+    rows = []
+    for group, size in enumerate([1, 2, 5, 700, 40, 90]):
+        x = np.unique(np.r_[rng.integers(0, 30, (size, 3)), rng.integers(0, 3, (size // 3, 3))], axis=0).astype(float)
+        rows += [(f"g{group % 3}", group, i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "node string, d int, pid long, x array<double>")
+    found = neighbours.nearest(df, 4, by=["node", "d"]).collect()
+    got = {(r["d"], r["pid"], r["rank"]): r["nid"] for r in found}
+    assert len(got) == len(found)
+    for group in range(6):
+        x = np.array([r[3] for r in rows if r[1] == group])
+        for i in range(len(x)):
+            distance = ((x - x[i]) ** 2).sum(axis=1)
+            distance[i] = np.inf
+            want = np.argsort(distance, kind="stable")[: min(4, len(x) - 1)].tolist()
+            assert [got.pop((group, i, j + 1)) for j in range(len(want))] == want
+    assert not got
+
+
+def test_smote_of_many_classes_is_one_plan(spark):
+    """The number of Spark jobs does not depend on the number of classes."""
+    tracker, jobs = spark.sparkContext.statusTracker(), []
+    for classes in (3, 1000):
+        rows = spark.range(4 * classes).selectExpr(
+            f"CAST(id % {classes} AS INT) AS y", "CAST(id AS DOUBLE) AS a", "CAST(pmod(hash(id), 97) AS DOUBLE) AS b"
+        ).filter("y <> 1 OR a > 3")
+        spark.sparkContext.setJobGroup(f"smote-{classes}", "")
+        made = imbalance.smote(rows, ["a", "b"], "y")
+        sizes = {r["y"]: r["count"] for r in made.groupBy("y").count().collect()}
+        jobs.append(len(tracker.getJobIdsForGroup(f"smote-{classes}")))
+        assert sizes == dict.fromkeys(range(classes), 4)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs[1] <= jobs[0] + 10
+
+
 @pytest.mark.parametrize("n", [60, 2600])
 def test_neighbours_against_brute_force(spark, n):
     rng = np.random.default_rng(n)
