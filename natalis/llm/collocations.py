@@ -6,19 +6,20 @@ one. The corpus becomes a dictionary of distinct chunks with the number of times
 and read once. Phrases are counted inside distinct chunks, weighted with the chunk's number; a phrase belongs to the
 chunk where its first word lies before the overlap, so the overlaps count once.
 
-Phrases of one to four words are counted level by level. A phrase can occur often only if its two parts without the last
-and without the first word do, and these are looked up in a bit table of fixed size; it may let a phrase through that is
-dropped after its exact count, and never holds one back. What moves between tasks are counts, added up in each task before.
+A phrase can occur often only if all its words and pairs of neighbours do. So words are counted first; then pairs of
+frequent words, as sums by 64-bit hashes; then the phrases of two to four words that consist of frequent pairs, exactly and as
+text. Frequent words and pairs are looked up in bit tables of a fixed size: these may let a phrase through that is
+dropped after its exact count, and never hold one back. What moves between tasks are counts, added up in each task before.
 """
 
 from __future__ import annotations
 
-import functools
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,41 +42,60 @@ def tokens_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).replace(MARK, b" . ").split() if text else []
 
 
-def chunks(tokens: list[bytes], codes: WordCodes) -> Iterator[bytes]:
-    """Overlapping chunks of a document, which ends in marks."""
-    size = len(tokens)
-    if not size:
-        return
-    tokens = tokens + [MARK] * OVERLAP
-    code = np.fromiter(map(codes.__getitem__, tokens), np.uint64, len(tokens))
-    window = np.zeros(size, np.uint64)
+def word_codes(words: pa.BinaryArray) -> np.ndarray:
+    """64-bit hashes of words that are not empty."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].astype(np.uint64)
+    size = np.diff(ends)
+    if not len(size):
+        return np.empty(0, np.uint64)
+    powers = np.cumprod(np.full(int(size.max()), _FACTOR))
+    place = np.arange(len(data)) - np.repeat(ends[:-1] - ends[0], size)
+    return mixed_bits(np.add.reduceat((data + np.uint64(1)) * powers[place], ends[:-1] - ends[0]) + size.astype(np.uint64))
+
+
+def parsed(documents: Sequence[list[bytes]]) -> Iterator[tuple[int, bytes]]:
+    """(document, chunk) of token lists; each ends in marks."""
+    marks = [MARK] * OVERLAP
+    flat = [t for tokens in documents for t in (*tokens, *marks)]
+    size = np.array([len(t) + OVERLAP for t in documents], np.int64)
+    ends = np.cumsum(size)
+    coded = pa.array(flat, pa.binary()).dictionary_encode()
+    code = word_codes(coded.dictionary)[coded.indices.to_numpy()]
+    window = np.zeros(max(0, len(flat) - OVERLAP + 1), np.uint64)
     for t in range(OVERLAP):
-        window = window * _FACTOR + code[t : t + size]
-    starts = np.flatnonzero(mixed_bits(window) % np.uint64(TRIGGER) == 0)
-    edges = [0, *starts[starts > 0].tolist(), size]
-    for a, b in zip(edges, edges[1:]):
-        yield b" ".join(tokens[a : b + OVERLAP])
+        window = window * _FACTOR + code[t : t + len(window)]
+    begin = np.zeros(len(flat), bool)
+    begin[: len(window)] = mixed_bits(window) % np.uint64(TRIGGER) == 0
+    begin[(ends - size)] = True  # the first token; and no chunk begins in the marks
+    begin[np.repeat(ends, OVERLAP) - np.tile(np.arange(1, OVERLAP + 1), len(ends))] = False
+    starts = np.flatnonzero(begin)
+    of = np.searchsorted(ends, starts, side="right")
+    # a chunk reaches OVERLAP tokens past the beginning of the next one, or to the end of its document
+    stops = np.minimum(np.append(starts[1:], len(flat)) + OVERLAP, ends[of])
+    for i, a, b in zip(of.tolist(), starts.tolist(), stops.tolist(), strict=True):
+        yield i, b" ".join(flat[a:b])
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
     """(lang, chunk, n): the distinct chunks of (lang, text) rows and how often each occurs."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, held, size = WordCodes(), Counter(), 0
+        held, size = Counter(), 0
 
         def flushed() -> pa.RecordBatch:
             keys = list(held)
             return pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.binary()), pa.array(list(held.values()), pa.int64())], ["lang", "chunk", "n"])
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for chunk in chunks(tokens_of(text.as_py()), codes):
-                    held[lang, chunk] += 1
-                    size += len(chunk)
-                    if size > _FLUSH_BYTES:
-                        yield flushed()
-                        held.clear()
-                        size = 0
+            langs = batch.column(0).to_pylist()
+            for i, chunk in parsed([tokens_of(text.as_py()) for text in batch.column(1)]):
+                held[langs[i], chunk] += 1
+                size += len(chunk)
+                if size > _FLUSH_BYTES:
+                    yield flushed()
+                    held.clear()
+                    size = 0
         yield flushed()
 
     parts = docs.mapInArrow(parse, "lang string, chunk binary, n bigint")
@@ -93,70 +113,120 @@ def _is_set(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def bit_table(phrases: DataFrame, words: int) -> Broadcast:
-    """Bits at the hashes of phrases of so many words; 8 MB however many phrases there are."""
+def bit_table(hashes: DataFrame) -> Broadcast:
+    """Bits at the first bits of the hashes ``h``; 8 MB however many there are."""
+    at = F.shiftrightunsigned("h", 64 - TABLE_BITS + 6).cast("int").alias("at")
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - TABLE_BITS}) & 63 AS INT))")
+    found = hashes.groupBy(at).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << TABLE_BITS - 6, np.uint64)
+    table[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(table)
+
+
+def word_hashes(words: DataFrame) -> DataFrame:
+    """Hashes ``h`` of the rows (lang, phrase) of one word."""
 
-    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
-            split = [p.encode("utf-8", "surrogatepass").split(b" ") for p in batch.column("phrase").to_pylist()]
-            langs = np.array([codes[x.encode()] for x in batch.column("lang").to_pylist()], np.uint64)
-            hashes = _fold(langs, [np.array([codes[s[t]] for s in split], np.uint64) for t in range(words)])
-            slot = hashes >> np.uint64(64 - TABLE_BITS)
-            bits = (np.uint64(1) << (slot & np.uint64(63))).view(np.int64)
-            yield pa.record_batch([pa.array((slot >> np.uint64(6)).astype(np.int32)), pa.array(bits)], ["at", "bits"])
-
-    found = phrases.select("lang", "phrase").mapInArrow(slots, "at int, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(1 << TABLE_BITS - 6, np.uint64)
-    table[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return phrases.sparkSession.sparkContext.broadcast(table)
-
-
-def _counted(langs: list[str], parts: list[bytes], n: np.ndarray, words: int, table: np.ndarray | None, codes: WordCodes) -> tuple:
-    """Langs, phrases and counts of the phrases of so many words inside chunks, each counted ``n`` times."""
-    tokens = b" ".join(parts).split(b" ")
-    size = np.array([p.count(b" ") + 1 for p in parts], np.int64)
-    known: defaultdict[bytes, int] = defaultdict()
-    known.default_factory = known.__len__
-    ids = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-    place = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
-    lang = np.repeat(np.array([place[x] for x in langs], np.int64), size)
-    begin = np.arange(len(tokens)) < np.repeat(np.cumsum(size), size) - OVERLAP
-    mark = known.get(MARK, -1)
-    for t in range(words):
-        begin[: len(tokens) - t] &= ids[t:] != mark
-    if table is not None:
-        code = np.fromiter(map(codes.__getitem__, known), np.uint64, len(known))[ids]
-        start = np.array([codes[x.encode()] for x in place], np.uint64)[lang]
-        hashes = _fold(start[: len(ids) - words + 2], [code[t : len(ids) - words + 2 + t] for t in range(words - 1)])
-        often = _is_set(table, hashes)
-        begin[len(often) - 1 :] = False
-        begin[: len(often) - 1] &= often[:-1] & often[1:]
-    at = np.flatnonzero(begin)
-    key = lang[at] * len(known) + ids[at]
-    for t in range(1, words):
-        key = np.unique(key, return_inverse=True)[1] * len(known) + ids[at + t]
-    _, first, which = np.unique(key, return_index=True, return_inverse=True)
-    total = np.zeros(len(first), np.int64)
-    np.add.at(total, which, np.repeat(n, size)[at])
-    first = at[first]
-    names = list(place)
-    return [names[i] for i in lang[first].tolist()], [b" ".join(tokens[i : i + words]) for i in first.tolist()], total
-
-
-def phrase_counts(chunked: DataFrame, words: int, table: Broadcast | None = None) -> DataFrame:
-    """(lang, phrase, f) of the phrases of so many words; with a table, of those whose two shorter parts are in it."""
+            lang = np.array([codes[x.encode("utf-8", "surrogatepass")] for x in batch.column("lang").to_pylist()], np.uint64)
+            word = word_codes(batch.column("phrase").cast(pa.binary()))
+            yield pa.record_batch([pa.array(_fold(lang, [word]).view(np.int64))], ["h"])
+
+    return words.select("lang", "phrase").mapInArrow(hashes, "h bigint")
+
+
+class _Laid:
+    """Tokens of chunks one after another, with the place of each in the list of different ones."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        langs, parts = batch.column("lang").to_pylist(), pc.split_pattern(batch.column("chunk"), " ")
+        size = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.list_flatten(parts).dictionary_encode()
+        self.ids, self.words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        place = {lang: i for i, lang in enumerate(dict.fromkeys(langs))}
+        self.langs = list(place)
+        self.lang = np.repeat(np.array([place[x] for x in langs], np.int64), size)
+        self.times = np.repeat(batch.column("n").to_numpy(), size)
+        # where a phrase of this chunk may begin, and whether each token is a word
+        self.own = np.arange(len(self.ids)) < np.repeat(np.cumsum(size), size) - OVERLAP
+        self.word = self.ids != pc.index(self.words, pa.scalar(MARK, self.words.type)).as_py()
+
+    def begins(self, words: int) -> np.ndarray:
+        """Whether a phrase of so many words begins at each place."""
+        begin = self.own & self.word
+        for t in range(1, words):
+            begin[: len(begin) - t] &= self.word[t:]
+        return begin
+
+    def hashes(self, codes: WordCodes) -> tuple[np.ndarray, np.ndarray]:
+        """Of the word at each place, and of the pair that begins there."""
+        own = word_codes(self.words)[self.ids]
+        lang = np.array([codes[x.encode("utf-8", "surrogatepass")] for x in self.langs], np.uint64)[self.lang]
+        single = _fold(lang, [own])
+        return single, _fold(single[:-1], [own[1:]])
+
+    def phrases(self, at: np.ndarray, words: int) -> pa.Array:
+        """The phrases of so many words that begin at the places ``at``."""
+        parts = [self.words.take(pa.array(self.ids[at + t])) for t in range(words)]
+        return (pc.binary_join_element_wise(*parts, b" ") if words > 1 else parts[0]).cast(pa.string())
+
+    def counted(self, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The first place of each different phrase of so many words that begins at one of ``at``, and how often it does."""
+        different = len(self.words)
+        key, reach = self.lang[at] * different + self.ids[at], len(self.langs) * different
+        if words == 1:
+            total, first = np.zeros(reach, np.int64), np.zeros(reach, np.int64)
+            np.add.at(total, key, self.times[at])
+            first[key] = at
+            return first[total > 0], total[total > 0]
+        for t in range(1, words):
+            if reach * different >= 1 << 62:
+                key = np.unique(key, return_inverse=True)[1]
+                reach = len(at)
+            key = key * different + self.ids[at + t]
+            reach *= different
+        order = np.argsort(key, kind="stable")
+        edges = np.flatnonzero(np.diff(key[order], prepend=-1))
+        return at[order[edges]], np.add.reduceat(self.times[at[order]], edges) if len(edges) else edges
+
+
+def phrase_counts(chunked: DataFrame, sizes: Sequence[int], pairs: Broadcast | None = None) -> DataFrame:
+    """(lang, phrase, k, f) of the phrases of k words, k in ``sizes``; with a table, of those whose pairs are all in it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = WordCodes()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            laid = _Laid(batch)
+            often = None if pairs is None else _is_set(pairs.value, laid.hashes(codes)[1])
+            for words in sizes:
+                begin = laid.begins(words)
+                for t in range(words - 1 if often is not None else 0):
+                    begin[: len(often) - t] &= often[t:]
+                at, total = laid.counted(np.flatnonzero(begin), words)
+                langs = pa.array(laid.langs, pa.string()).take(pa.array(laid.lang[at]))
+                yield pa.record_batch([langs, laid.phrases(at, words), pa.array(np.full(len(at), words, np.int32)), pa.array(total, pa.int64())], ["lang", "phrase", "k", "f"])
+
+    found = chunked.mapInArrow(count, "lang string, phrase string, k int, f bigint")
+    return found.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
+
+
+def pair_sums(chunked: DataFrame, words: Broadcast) -> DataFrame:
+    """(h, f): occurrences of pairs of words in the table, by the hash of the pair."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = WordCodes()
         for batch in batches:
             if batch.num_rows:
-                columns = [batch.column(c) for c in ("lang", "chunk", "n")]
-                langs, phrases, total = _counted(columns[0].to_pylist(), columns[1].to_pylist(), columns[2].to_numpy(), words, table and table.value, codes)
-                yield pa.record_batch([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(total)], ["lang", "phrase", "f"])
+                laid = _Laid(batch)
+                single, pair = laid.hashes(codes)
+                often = _is_set(words.value, single)
+                at = np.flatnonzero(laid.begins(2)[:-1] & often[:-1] & often[1:])
+                yield pa.record_batch([pa.array(pair[at].view(np.int64)), pa.array(laid.times[at])], ["h", "f"])
 
-    found = chunked.mapInArrow(count, "lang string, phrase string, f bigint")
-    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return chunked.mapInArrow(add, "h bigint, f bigint").groupBy("h").agg(F.sum("f").alias("f"))
 
 
 def _exact(column: str):
@@ -177,15 +247,13 @@ def mined(
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     chunked = saved(dictionary(rows), "chunks")
-    single = saved(phrase_counts(chunked, 1), "words")
+    single = saved(phrase_counts(chunked, [1]), "words")
     sizes = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    levels = [single.filter(F.col("f") >= least)]
-    for words in range(2, MOST_WORDS + 1):
-        table = bit_table(levels[-1], words - 1)
-        levels.append(saved(phrase_counts(chunked, words, table).filter(F.col("f") >= least), "phrases"))
+    frequent = single.filter(F.col("f") >= least)
+    pairs = bit_table(pair_sums(chunked, bit_table(word_hashes(frequent))).filter(F.col("f") >= least))
+    phrases = phrase_counts(chunked, range(2, MOST_WORDS + 1), pairs).filter(F.col("f") >= least)
+    counted = frequent.unionByName(saved(phrases, "phrases"))
 
-    union = functools.partial(functools.reduce, DataFrame.unionByName)
-    counted = union([level.withColumn("k", F.lit(i)) for i, level in enumerate(levels, start=1)])
     several = counted.filter("k > 1")
     cuts = several.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     cuts = cuts.withColumn("left", F.expr("substring_index(phrase, ' ', cut)"))

@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 import pytest
 
 from natalis.llm import collocations
-from natalis.llm.shared import WordCodes
 
 
 def plain(rows, least, top, percent=80):
@@ -71,7 +70,7 @@ def test_large_counts_stay_exact(spark):
     many = 9_999_999_999_977
     chunk = b"a b c . . . ."
     df = spark.createDataFrame([("en", bytearray(chunk), many)], "lang string, chunk binary, n long")
-    counted = {(r.phrase, r.f) for r in collocations.phrase_counts(df, 2).collect()}
+    counted = {(r.phrase, r.f) for r in collocations.phrase_counts(df, [2]).collect()}
     assert counted == {("a b", many), ("b c", many)}
     ratio = spark.sql(f"SELECT (CAST(2000000 AS DECIMAL(7,0)) * CAST({many} AS DECIMAL(20,0))) div (CAST({many} AS DECIMAL(20,0)) + CAST({many + 3} AS DECIMAL(20,0))) AS q")
     assert ratio.first().q == 2_000_000 * many // (2 * many + 3)
@@ -80,11 +79,15 @@ def test_large_counts_stay_exact(spark):
 def test_parse_covers_every_token_once():
     rng = random.Random(4)
     tokens = [rng.choice([b"a", b"b", b"c", b"."]) for _ in range(5000)]
-    parts = [c.split(b" ") for c in collocations.chunks(tokens, WordCodes())]
+    cut = lambda *documents: [(i, c.split(b" ")) for i, c in collocations.parsed(documents)]
+    both = cut([b"x", b"y"], tokens, [], tokens[1700:])
+    parts = [p for i, p in both if i == 1]
     assert len(parts) > 50
     assert [t for p in parts for t in p[: -collocations.OVERLAP]] == tokens
     for a, b in zip(parts, parts[1:]):
         assert a[-collocations.OVERLAP :] == b[: collocations.OVERLAP]
+    assert [p for i, p in both if i == 0] == [[b"x", b"y", *[b"."] * collocations.OVERLAP]]
     # the cuts follow the text, not its place
-    again = [c.split(b" ") for c in collocations.chunks(tokens[1700:], WordCodes())]
+    again = [p for i, p in both if i == 3]
     assert again[1:] == parts[len(parts) - len(again) + 1 :]
+    assert cut() == cut([]) == []
