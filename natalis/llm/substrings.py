@@ -9,7 +9,8 @@ those before it, whose matching statistics give the longest earlier passage that
 to it. Spans where the statistic reaches ``length`` are removed.
 
 A hash with very many different segments (a passage amid ever different words) would be more than one automaton should
-hold. The windows of such segments are grouped by 128-bit digests instead, which finds the same windows.
+hold. Such segments are cut again by the least hash of longer runs of words, and again, up to whole windows: the longer
+the run, the more of the windows that reach out of the passage share it with no other document.
 
 Copies of a whole text are looked up once. Texts move twice at most, and only documents that share a hash the second time.
 """
@@ -17,6 +18,7 @@ Copies of a whole text are looked up once. Texts move twice at most, and only do
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,7 @@ from natalis.llm.shared import WordCodes, bounded_batches, mixed_bits, saved, wo
 
 LENGTH = 50
 SEED = 8  # words of the hash that decides where a window is looked up
+LONGER = (0.4, 0.7, 1.0)  # shares of the window that are hashed where too many segments have one hash
 LONGEST = 64  # windows of a segment
 SHARD_WORDS = 30_000
 WIDE = 128  # different segments to one hash that an automaton takes
@@ -39,9 +42,9 @@ def _digest(data: bytes, size: int) -> bytes:
     return hashlib.blake2b(data, digest_size=size).digest()
 
 
-def segments(codes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segments(codes: np.ndarray, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, least hash) of each run of windows with the same least hash."""
-    windows, seed = len(codes) - length + 1, min(SEED, length)
+    windows, seed = len(codes) - length + 1, min(seed, length)
     if windows < 1:
         return (np.empty(0, np.int32),) * 2 + (np.empty(0, np.int64),)
     low = np.zeros(len(codes) - seed + 1, np.uint64)
@@ -187,9 +190,8 @@ def _scanned(docs: DataFrame, id_field: T.StructField, length: int) -> DataFrame
     return docs.mapInArrow(scan, schema)
 
 
-def _cut(candidates: DataFrame, id_field: T.StructField, length: int) -> DataFrame:
-    """A row per candidate segment: digest of its words, its hash, where it stands, and the words unless a task has sent them."""
-    schema = T.StructType(
+def _cut_schema(id_field: T.StructField) -> T.StructType:
+    return T.StructType(
         [
             T.StructField("_segment", T.BinaryType()),
             T.StructField("_key", T.LongType()),
@@ -201,6 +203,11 @@ def _cut(candidates: DataFrame, id_field: T.StructField, length: int) -> DataFra
         ]
     )
 
+
+def _cut(candidates: DataFrame, id_field: T.StructField, length: int) -> DataFrame:
+    """A row per candidate segment: digest of its words, its hash, where it stands, and the words unless a task has sent them."""
+    schema = _cut_schema(id_field)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes] = set()
         for batch in batches:
@@ -220,45 +227,71 @@ def _cut(candidates: DataFrame, id_field: T.StructField, length: int) -> DataFra
     return candidates.mapInArrow(cut, schema)
 
 
-_FOUND = "_number bigint, _from array<int>, _to array<int>"
+_SPAN = T.ArrayType(T.StructType([T.StructField("_a", T.IntegerType()), T.StructField("_b", T.IntegerType())]))
+_FOUND = T.StructType([T.StructField("_number", T.LongType()), T.StructField("_spans", _SPAN)])
 
 
 def _by_automata(distinct: DataFrame, length: int) -> DataFrame:
-    """Spans of each distinct segment that stand in an earlier document, shard by shard."""
-    words = distinct.agg(F.coalesce(F.sum(F.col("_size") + length - 1), F.lit(0))).first()[0]
+    """Spans of each distinct segment that stand in an earlier document, shard by shard; a hash is in one shard."""
+    words = distinct.agg(F.coalesce(F.sum(F.col("_size") + (length - 1)), F.lit(0))).first()[0]
     shards = max(4 * int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-words // SHARD_WORDS))
 
     def match(table: pa.Table) -> pa.Table:
-        rows = [(k, n, c.split(b" ")) for k, n, c in zip(*(table[c].to_pylist() for c in ("_first", "_number", "_content")), strict=True)]
+        columns = [table[c].to_pylist() for c in ("_key", "_first", "_number", "_content")]
+        times = Counter(columns[0])
+        rows = [(first, number, content.split(b" ")) for key, first, number, content in zip(*columns, strict=True) if times[key] > 1]
         found = list(earlier_spans(rows, length))
-        return pa.table([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], ["_number", "_from", "_to"])
+        pairs = [[{"_a": a, "_b": b} for a, b in zip(*f[1:], strict=True)] for f in found]
+        return pa.Table.from_batches([_batch([[f[0] for f in found], pairs], _FOUND)])
 
-    dealt = distinct.select(F.pmod(F.xxhash64("_key"), F.lit(shards)).alias("_shard"), "_first", "_number", "_content")
+    dealt = distinct.select(F.pmod(F.xxhash64("_key"), F.lit(shards)).alias("_shard"), "_key", "_first", "_number", "_content")
     return dealt.groupBy("_shard").applyInArrow(match, _FOUND)
 
 
-def _by_digests(distinct: DataFrame, id_field: T.StructField, length: int) -> DataFrame:
-    """The same for segments whose hash has too many of them: equal windows are grouped by 128-bit digests."""
-    schema = T.StructType([T.StructField("_window", T.BinaryType()), T.StructField("_number", T.LongType()), T.StructField("_first", id_field.dataType), T.StructField("_at", T.IntegerType())])
+def _cut_again(distinct: DataFrame, id_field: T.StructField, length: int, seed: int) -> DataFrame:
+    """The windows of distinct segments as shorter segments, by the least hash of ``seed`` words."""
+    schema = _cut_schema(id_field)
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = WordCodes()
         for batch in batches:
             out = []
             for number, first, content in zip(*(batch.column(c).to_pylist() for c in ("_number", "_first", "_content")), strict=True):
                 words = content.split(b" ")
-                out += [(_digest(b" ".join(words[i : i + length]), 16), number, first, i) for i in range(len(words) - length + 1)]
-            yield _batch([list(c) for c in zip(*out, strict=True)] if out else [[]] * 4, schema)
+                found = segments(np.fromiter(map(codes.__getitem__, words), np.uint64, len(words)), length, seed)
+                for start, size, key in zip(*(f.tolist() for f in found), strict=True):
+                    own = b" ".join(words[start : start + size + length - 1])
+                    out.append((_digest(own, 16), key, number, first, start, size, own))
+            yield _batch([list(c) for c in zip(*out, strict=True)] if out else [[]] * len(schema), schema)
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [spans(np.sort(np.asarray(at)), length) for at in batch.column("_at").to_pylist()]
-            columns = [batch.column("_number"), *(pa.array([f[i] for f in found], pa.list_(pa.int32())) for i in (0, 1))]
-            yield pa.record_batch(columns, ["_number", "_from", "_to"])
+    return distinct.select("_number", "_first", "_content").mapInArrow(cut, schema)
 
-    each = saved(distinct.select("_number", "_first", "_content").mapInArrow(windows, schema), "windows")
-    least = each.groupBy("_window").agg(F.min("_first").alias("_least"), F.max("_first").alias("_most")).filter("_least < _most")
-    later = each.join(least, "_window").filter("_first > _least")
-    return later.groupBy("_number").agg(F.collect_list("_at").alias("_at")).mapInArrow(runs, _FOUND)
+
+def _lost(cut: DataFrame, id_field: T.StructField, length: int, wide: int, seeds: list[int]) -> DataFrame:
+    """(_row, _spans): what each row of ``cut`` segments has in common with a smaller id, as spans of words.
+
+    Equal segments are looked up once. A hash with one segment has nothing to compare; one with up to ``wide`` goes
+    to an automaton; the segments of the others are cut again by the next of ``seeds``. At the last, whole windows,
+    segments with equal hashes are stretches of one word, of which there are ``LONGEST`` lengths at most.
+    """
+    distinct = cut.groupBy("_segment").agg(F.min("_id").alias("_first"), F.min("_key").alias("_key"), F.min("_size").alias("_size"), F.max("_content").alias("_content"))
+    distinct = saved(distinct.withColumn("_number", F.monotonically_increasing_id()), "distinct-segments")
+    per_key = distinct.groupBy("_key").agg(F.count("*").alias("_different"))
+    crowded = saved(per_key.filter(F.col("_different") > wide if seeds else F.lit(False)).select("_key"), "crowded")
+    many = crowded.count()
+    few = distinct.join(crowded, "_key", "left_anti") if many else distinct
+    found = _by_automata(few, length)
+    if many:
+        again = saved(_cut_again(distinct.join(crowded, "_key"), id_field, length, seeds[0]), "cut-again")
+        inner = _lost(again, id_field, length, wide, seeds[1:])
+        found = found.unionByName(inner.select(F.col("_row").alias("_number"), "_spans"))
+    known = distinct.select("_segment", "_first", "_number").join(found, "_number", "left")
+    placed = cut.select("_segment", "_row", "_id", "_start", "_size").join(known, "_segment")
+    later = F.col("_id") > F.col("_first")
+    whole = F.array(F.struct(F.col("_start").alias("_a"), (F.col("_start") + F.col("_size") + (length - 1)).alias("_b")))
+    inside = F.transform("_spans", lambda s: F.struct((s["_a"] + F.col("_start")).alias("_a"), (s["_b"] + F.col("_start")).alias("_b")))
+    placed = placed.filter(later | F.col("_spans").isNotNull()).select("_row", F.when(later, whole).otherwise(inside).alias("_spans"))
+    return placed.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans"))
 
 
 def _removed(docs: DataFrame, length: int) -> DataFrame:
@@ -311,23 +344,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     near = near.join(own.select("_row", "_id", "_digest"), "_row")
     candidates = saved(rows.join(near, ["_digest", "_id"]), "candidates")
 
-    # equal segments once
-    cut = saved(_cut(candidates, id_field, length), "cut")
-    distinct = cut.groupBy("_segment").agg(F.min("_id").alias("_first"), F.min("_key").alias("_key"), F.min("_size").alias("_size"), F.max("_content").alias("_content"))
-    distinct = saved(distinct.withColumn("_number", F.monotonically_increasing_id()), "distinct-segments")
-    per_key = distinct.groupBy("_key").agg(F.count("*").alias("_different")).filter("_different > 1")
-    several = distinct.join(per_key, "_key")
-    found = _by_automata(several.filter(F.col("_different") <= wide), length)
-    found = found.unionByName(_by_digests(several.filter(F.col("_different") > wide), id_field, length))
+    seeds = sorted({round(length * share) for share in LONGER if round(length * share) > SEED})
+    lost = _lost(saved(_cut(candidates, id_field, length), "cut"), id_field, length, wide, seeds)
 
     # back to documents
-    known = distinct.select("_segment", "_first", "_number").join(found, "_number", "left")
-    placed = cut.select("_segment", "_row", "_id", "_start", "_size").join(known, "_segment")
-    later = F.col("_id") > F.col("_first")
-    whole = F.array(F.struct(F.col("_start").alias("_a"), (F.col("_start") + F.col("_size") + (length - 1)).alias("_b")))
-    inner = F.transform(F.arrays_zip("_from", "_to"), lambda z: F.struct((z["_from"] + F.col("_start")).alias("_a"), (z["_to"] + F.col("_start")).alias("_b")))
-    placed = placed.filter(later | F.col("_from").isNotNull()).select("_row", F.when(later, whole).otherwise(inner).alias("_spans"))
-    lost = placed.groupBy("_row").agg(F.flatten(F.collect_list("_spans")).alias("_spans"))
     changed = _removed(candidates.select("_row", "_digest", "_text").join(lost, "_row").select("_digest", "_text", "_spans"), length)
     changed = changed.groupBy("_digest").agg(F.min("_gone").alias("_gone"), F.min("_kept").alias("_kept"))
 

@@ -54,7 +54,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, length, wide", [(1, 10, 128), (2, 10, 1), (3, 3, 6), (4, 50, 128)])
+@pytest.mark.parametrize("seed, length, wide", [(1, 10, 128), (2, 10, 1), (3, 30, 2), (4, 50, 128)])
 def test_against_all_windows(spark, monkeypatch, seed, length, wide):
     monkeypatch.setattr(substrings, "SHARD_WORDS", 200)
     rows = corpus(seed)
