@@ -7,6 +7,7 @@ Arrow-batched pandas UDFs; the statistics themselves are plain Spark aggregates.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
@@ -17,8 +18,11 @@ def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
-def _fraction(term, tiny: float = 1e-300, limit: int = 2000) -> float:
-    """Value of a continued fraction b0 + a1/(b1 + a2/(b2 + ...)) by the modified Lentz rule."""
+def _fraction(term, tiny: float = 1e-300, limit: int = 10_000_000) -> float:
+    """Value of a continued fraction b0 + a1/(b1 + a2/(b2 + ...)) by the modified Lentz rule.
+
+    The number of terms grows with the root of the parameters. Not to converge is an error.
+    """
     _, b = term(0)
     value = c = b or tiny
     d = 0.0
@@ -29,8 +33,8 @@ def _fraction(term, tiny: float = 1e-300, limit: int = 2000) -> float:
         step = c * d
         value *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"the continued fraction has not converged after {limit} terms")
 
 
 def beta_inc(a: float, b: float, x: float) -> float:
@@ -105,6 +109,26 @@ def chi2_upper(x: float, df: float) -> float:
     return gamma_upper(df / 2.0, x / 2.0)
 
 
+@lru_cache(maxsize=64)
+def rank_sum_counts(m: int, n: int) -> list[int]:
+    """In how many ways m of m + n ranks give each value 0 to m * n of the rank-sum statistic."""
+    counts = [1] + [0] * (m * n)
+    for i in range(1, m + 1):  # the Gaussian binomial, factor by factor
+        for j in range(m * n, n + i - 1, -1):
+            counts[j] -= counts[j - n - i]
+        for j in range(i, m * n + 1):
+            counts[j] += counts[j - i]
+    return counts
+
+
+def rank_sum_two_sided(w: float, m: float, n: float) -> float:
+    """Exact p-value of the rank-sum statistic without ties."""
+    counts = rank_sum_counts(int(m), int(n))
+    at = round(w)
+    extreme = sum(counts[at:]) if 2 * w > m * n else sum(counts[: at + 1])
+    return min(1.0, 2 * extreme / sum(counts))
+
+
 def _apply(fn, *columns: pd.Series) -> pd.Series:
     rows = zip(*columns)
     return pd.Series([None if any(pd.isna(v) for v in row) else fn(*row) for row in rows], dtype="float64")
@@ -133,3 +157,8 @@ def q_t(p: pd.Series, df: pd.Series) -> pd.Series:
 @pandas_udf(DoubleType())
 def p_chi2(x: pd.Series, df: pd.Series) -> pd.Series:
     return _apply(chi2_upper, x, df)
+
+
+@pandas_udf(DoubleType())
+def p_rank_sum(w: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
+    return _apply(rank_sum_two_sided, w, m, n)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis import oracle
-from natalis.operators import balance, fairness, features, filters, imbalance, matching, metrics, mitigate, mixed, models
+from natalis.operators import balance, fairness, features, filters, hypothesis, imbalance, matching, metrics, mitigate, mixed, models
 from natalis.plans import chains
 from natalis.plans import clinical as cl
 from natalis.queries import _groups, _summary, query, rounded
@@ -95,7 +95,16 @@ def lr_mortality_report(spark, base):
     groups = _groups(spark, base)
     _, scored = models.fit_and_score(groups, MORTALITY_FEATURES, cl.MORTALITY, "person_id", prediction="y_pred")
     test = scored.filter(F.col("split") == "test").withColumn("y", F.col(cl.MORTALITY))
-    return rounded(metrics.macro_scores(test).withColumn("auc", F.lit(metrics.auc(test).first()["auc"])))
+    both = metrics.macro_scores(test).withColumn("_one", F.lit(1)).join(metrics.auc(test).withColumn("_one", F.lit(1)), "_one")
+    return rounded(both.drop("_one"))
+
+
+@query
+def lr_mortality_roc(spark, base):
+    """ROC points of the mortality model on the test rows."""
+    groups = _groups(spark, base)
+    _, scored = models.fit_and_score(groups, MORTALITY_FEATURES, cl.MORTALITY, "person_id", prediction="y_pred")
+    return rounded(metrics.roc_points(scored.filter(F.col("split") == "test").withColumn("y", F.col(cl.MORTALITY))))
 
 
 def _network(spark, base, hidden) -> DataFrame:
@@ -380,6 +389,33 @@ def glmm_interaction_full(spark, base):
     return _mixed_tables(spark, base, (f"{cl.EXPOSURE}*age", "race_White", *cl.ADJUSTING_TERMS))
 
 
+def _both_models(table: DataFrame) -> list[tuple[str, str, mixed.Model]]:
+    return [
+        (label, name, mixed.Model(table, outcome, terms))
+        for label, outcome in cl.OUTCOMES.items()
+        for name, terms in (("Model 1", cl.REDUCED_TERMS), ("Model 2", cl.FULL_TERMS))
+    ]
+
+
+@query
+def glmm_moments(spark, base):
+    """Score equations of the reduced (1) and the full (2) fit of each outcome."""
+    kinds = _both_models(_model_table(spark, base))
+    wanted = [m for _, _, m in kinds]
+    moments = mixed.score_moments(wanted, mixed.fit_models(wanted))
+    rows = [(label, name, t, v) for (label, name, _), m in zip(kinds, moments) for t, v in m.items()]
+    return rounded(spark.createDataFrame(rows, "dv_label string, model string, term string, moment double"), 1)
+
+
+@query
+def effect_size_fitted(spark, base):
+    """Effect sizes of the exposure from the reduced (1) and the full (2) mixed fit of each outcome."""
+    kinds = _both_models(_model_table(spark, base))
+    fits = mixed.fit_models([m for _, _, m in kinds])
+    rows = [(label, name, float(f.beta[f.terms.index(cl.EXPOSURE)])) for (label, name, _), f in zip(kinds, fits)]
+    return rounded(hypothesis.add_effect_size(spark.createDataFrame(rows, "dv string, model string, estimate double")), 4)
+
+
 @query
 def glmm_likelihood(spark, base):
     """Laplace log-likelihood of the reduced and the full model of each outcome at stated parameters."""

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from natalis.functions.columns import p_label, ratio
-from natalis.functions.tails import p_chi2, p_normal, p_t, p_t_greater, q_t
+from natalis.functions.tails import p_chi2, p_normal, p_rank_sum, p_t, p_t_greater, q_t
 from natalis.operators.describe import describe_by_group, distinct_levels
 from natalis.operators.ordering import running_totals
-from natalis.plans.clinical import REPORTED_LOG_ODDS
 
 _INF = float("inf")
+EXACT_ROWS = 50  # fixed value: from so many rows on a group's rank sum is approximated
 
 
 def _t_statistic(shift: float = 0.0):
@@ -111,8 +111,10 @@ def chi_square_fit(
 
 
 def rank_sum(df: DataFrame, value: str, group: str, edges: Sequence[float] | None = None) -> DataFrame:
-    """Wilcoxon rank-sum test of ``value ~ group`` for a 0/1 group: W of group 0, mid-ranks,
-    normal approximation with tie and continuity correction.
+    """Wilcoxon rank-sum test of ``value ~ group`` for a 0/1 group: W of group 0 and mid-ranks.
+
+    The p-value is exact where no value occurs twice and both groups have fewer than 50 rows; otherwise it is that of
+    the normal approximation with tie and continuity correction, whose z is given in either case.
 
     Ranks are taken over distinct values with counts, and their running totals are range-wise, so neither
     many equal values nor many different ones end in one task.
@@ -135,8 +137,10 @@ def rank_sum(df: DataFrame, value: str, group: str, edges: Sequence[float] | Non
     scored = sums.select("n0", "n1", (F.col("r0") - n0 * (n0 + 1) / 2).alias("w"), "ties")
     gap = F.col("w") - n0 * n1 / 2
     sigma = F.sqrt(n0 * n1 / 12 * (n + 1 - ratio(F.col("ties"), n * (n - 1))))
-    scored = scored.withColumn("z", ratio(gap - F.signum(gap) * 0.5, sigma)).drop("ties")
-    return scored.withColumn("p_value", p_normal(F.col("z")))
+    scored = scored.withColumn("z", ratio(gap - F.signum(gap) * 0.5, sigma))
+    few = (F.col("ties") == 0) & (F.col("n0") < EXACT_ROWS) & (F.col("n1") < EXACT_ROWS) & (F.least("n0", "n1") > 0)
+    counted = p_rank_sum(*[F.when(few, F.col(c)).otherwise(F.lit(0)).cast("double") for c in ("w", "n0", "n1")])
+    return scored.withColumn("p_value", F.when(few, counted).otherwise(p_normal(F.col("z")))).drop("ties")
 
 
 def wald_table(coefficients: DataFrame) -> DataFrame:
@@ -155,8 +159,8 @@ def wald_table(coefficients: DataFrame) -> DataFrame:
     return table.withColumn("p_value", p_normal(F.col("z")))
 
 
-def effect_sizes(spark, log_odds: Mapping[str, Sequence[float]] = REPORTED_LOG_ODDS) -> DataFrame:
-    """Odds ratio and Cohen's d = ln(OR) / 1.81 for reported log-odds."""
+def effect_sizes(spark, log_odds: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Odds ratio and Cohen's d = ln(OR) / 1.81 for the log-odds of models 1, 2 and so on of each outcome."""
     rows = [(dv, f"Model {i + 1}", float(e)) for dv, values in log_odds.items() for i, e in enumerate(values)]
     return add_effect_size(spark.createDataFrame(rows, "dv string, model string, estimate double"))
 

@@ -474,6 +474,20 @@ def fit_models(models: Sequence[Model], group: str = "data_partner_id", max_iter
     return out
 
 
+def score_moments(models: Sequence[Model], fits: Sequence[MixedFit], group: str = "data_partner_id") -> list[dict[str, float]]:
+    """Fitted side of the score equations of each model, per term.
+
+    At the maximum of the Laplace likelihood it equals the observed sum of y·x, as its slope in a fixed effect is zero.
+    """
+    patterns, names = _pattern_counts(models, group)
+    sums = patterns.select("fit", "s", F.posexplode(F.concat(F.array(F.lit(1.0)), "x")).alias("j", "v"))
+    seen = {(r["fit"], r["j"]): r["o"] for r in sums.groupBy("fit", "j").agg(F.sum(F.col("s") * F.col("v")).alias("o")).collect()}
+    zeros, ones = ({i: np.full(len(t), v) for i, t in enumerate(names)} for v in (0.0, 1.0))
+    lik = _Likelihood(patterns, [len(t) for t in names], zeros, ones)
+    found = lik.run({i: _Ask([(f.beta, float(np.log(f.sigma)) if f.sigma > 0 else None)]) for i, f in enumerate(fits)})
+    return [{t: float(seen[i, j] - found[i][0].gradient[j]) for j, t in enumerate(fit.terms)} for i, fit in enumerate(fits)]
+
+
 def fit_mixed(
     df: DataFrame,
     outcome: str,

@@ -691,6 +691,20 @@ def _likelihoods(rounds: int = 12) -> str:
     )
 
 
+def _mixed_moments() -> str:
+    """Observed side of the score equations: sum of y times each term over the complete rows of a model."""
+    parts = []
+    for label, y in cl.OUTCOMES.items():
+        for model, terms in (("Model 1", cl.REDUCED_TERMS), ("Model 2", cl.FULL_TERMS)):
+            known = " AND ".join(f"{c} IS NOT NULL" for c in (y, cl.CLUSTER, *terms))
+            parts += [
+                f"SELECT '{label}' AS dv_label, '{model}' AS model, '{name}' AS term, {r6(f'CAST(sum({y} * {x}) AS DOUBLE)', 1)} AS moment "
+                f"FROM modelled WHERE {known}"
+                for name, x in (("(Intercept)", "1"), *((t, t) for t in terms))
+            ]
+    return sql(" UNION ALL ".join(parts), "modelled")
+
+
 def _stated_curve() -> str:
     """Curve over age by exposure from stated coefficients with independent errors, other terms at their means."""
     terms = (cl.EXPOSURE, "age", "race_White", f"{cl.EXPOSURE}:age")
@@ -889,6 +903,7 @@ def model_texts() -> dict[str, str]:
         "modelled",
     )
     out["glmm_likelihood"] = _likelihoods()
+    out["glmm_moments"] = _mixed_moments()
     out["stated_curve"] = _stated_curve()
     out["ecdf_distances"] = sql(" UNION ALL ".join(_ecdf(c) for c in cl.MATCH_COVARIATES), "modelled")
     weighted = sql("", "modelled").strip() + ", " + _STRATA

@@ -131,27 +131,44 @@ FULL_TERMS = REDUCED_TERMS + ADJUSTING_TERMS
 MATCH_COVARIATES = ("age", "race_White") + ADJUSTING_TERMS
 CLUSTER = "data_partner_id"
 
-# Published log-odds of the exposure, models 1 and 2, used by the effect-size table.
-REPORTED_LOG_ODDS = {
-    "Postpartum Depression (COVID)": (0.558, 0.2673),
-    "C-section": (0.7408, 0.3858),
-    "(Pre)Eclampsia": (0.8857, 0.3883),
-}
-
 LUNG = "CHRONICLUNGDISEASE_indicator"
 MORTALITY = "patient_death_indicator"
 # The comorbidity and treatment flags of the wide patient summary, in table order.
-COMORBIDITIES = tuple(
-    f"{name}_indicator"
-    for name in (
-        "OBESITY PREGNANCY TOBACCOSMOKER CARDIOMYOPATHIES CEREBROVASCULARDISEASE CHRONICLUNGDISEASE "
-        "CONGESTIVEHEARTFAILURE CORONARYARTERYDISEASE DEMENTIA DEPRESSION DIABETESCOMPLICATED "
-        "DIABETESUNCOMPLICATED DOWNSYNDROME HEARTFAILURE HEMIPLEGIAORPARAPLEGIA HIVINFECTION HYPERTENSION "
-        "KIDNEYDISEASE MALIGNANTCANCER METASTATICSOLIDTUMORCANCERS MILDLIVERDISEASE "
-        "MODERATESEVERELIVERDISEASE MYOCARDIALINFARCTION OTHERIMMUNOCOMPROMISED PEPTICULCER "
-        "PERIPHERALVASCULARDISEASE PSYCHOSIS PULMONARYEMBOLISM RHEUMATOLOGICDISEASE SICKLECELLDISEASE "
-        "SUBSTANCEUSEDISORDER THALASSEMIA TUBERCULOSIS SYSTEMICCORTICOSTEROIDS"
-    ).split()
+COMORBIDITIES = (
+    "OBESITY_indicator",
+    "PREGNANCY_indicator",
+    "TOBACCOSMOKER_indicator",
+    "CARDIOMYOPATHIES_indicator",
+    "CEREBROVASCULARDISEASE_indicator",
+    "CHRONICLUNGDISEASE_indicator",
+    "CONGESTIVEHEARTFAILURE_indicator",
+    "CORONARYARTERYDISEASE_indicator",
+    "DEMENTIA_indicator",
+    "DEPRESSION_indicator",
+    "DIABETESCOMPLICATED_indicator",
+    "DIABETESUNCOMPLICATED_indicator",
+    "DOWNSYNDROME_indicator",
+    "HEARTFAILURE_indicator",
+    "HEMIPLEGIAORPARAPLEGIA_indicator",
+    "HIVINFECTION_indicator",
+    "HYPERTENSION_indicator",
+    "KIDNEYDISEASE_indicator",
+    "MALIGNANTCANCER_indicator",
+    "METASTATICSOLIDTUMORCANCERS_indicator",
+    "MILDLIVERDISEASE_indicator",
+    "MODERATESEVERELIVERDISEASE_indicator",
+    "MYOCARDIALINFARCTION_indicator",
+    "OTHERIMMUNOCOMPROMISED_indicator",
+    "PEPTICULCER_indicator",
+    "PERIPHERALVASCULARDISEASE_indicator",
+    "PSYCHOSIS_indicator",
+    "PULMONARYEMBOLISM_indicator",
+    "RHEUMATOLOGICDISEASE_indicator",
+    "SICKLECELLDISEASE_indicator",
+    "SUBSTANCEUSEDISORDER_indicator",
+    "THALASSEMIA_indicator",
+    "TUBERCULOSIS_indicator",
+    "SYSTEMICCORTICOSTEROIDS_indicator",
 )
 SUMMARY_COLUMNS = (
     ("age", "BMI_max_observed_or_calculated", "sex", "race", "race_ethnicity") + COMORBIDITIES + (MORTALITY,)

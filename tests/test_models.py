@@ -124,6 +124,10 @@ def test_models_fitted_together_equal_models_fitted_alone(spark, patients):
     together = mixed.fit_models([mixed.Model(df, "y", ["e"]), mixed.Model(other, "z", ["e", "age"])], group="g")
     for fit, alone in zip(together, (mixed.fit_mixed(df, "y", ["e"], group="g"), mixed.fit_mixed(other, "z", ["e", "age"], group="g"))):
         assert fit.beta == pytest.approx(alone.beta, abs=1e-8) and fit.loglik == pytest.approx(alone.loglik, abs=1e-8)
+    wanted = [mixed.Model(df, "y", ["e"]), mixed.Model(other, "z", ["e", "age"])]
+    observed = other.agg(F.sum("y").alias("y"), F.sum(F.col("y") * F.col("e")).alias("ye"), F.sum(F.col("z") * F.col("age")).alias("za")).first()
+    one, two = mixed.score_moments(wanted, together, group="g")
+    assert (one[mixed.INTERCEPT], one["e"], two["age"]) == pytest.approx((observed["y"], observed["ye"], observed["za"]), abs=0.02)
     with pytest.raises(ValueError, match="does not vary"):
         mixed.fit_mixed(df.withColumn("y", F.lit(0)), "y", ["e"], group="g")
 

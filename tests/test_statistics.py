@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -31,8 +32,16 @@ def test_worked_paired_example(spark):
     assert row["p_value"] < 2.2e-16
 
 
+# published log-odds of the exposure, models 1 and 2
+REPORTED_LOG_ODDS = {
+    "Postpartum Depression (COVID)": (0.558, 0.2673),
+    "C-section": (0.7408, 0.3858),
+    "(Pre)Eclampsia": (0.8857, 0.3883),
+}
+
+
 def test_reported_effect_sizes(spark):
-    got = {(r["dv"], r["model"]): (round(r["odds_ratio"], 4), r["cohen_d"]) for r in hypothesis.effect_sizes(spark).collect()}
+    got = {(r["dv"], r["model"]): (round(r["odds_ratio"], 4), r["cohen_d"]) for r in hypothesis.effect_sizes(spark, REPORTED_LOG_ODDS).collect()}
     assert got == {
         ("Postpartum Depression (COVID)", "Model 1"): (1.7472, 0.308),
         ("Postpartum Depression (COVID)", "Model 2"): (1.3064, 0.148),
@@ -67,6 +76,36 @@ def test_rank_sum_against_pair_counts(spark, seed):
     assert hypothesis.rank_sum(df, "v", "g", edges=[5.0]).first()["w"] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("sizes", [(3, 4), (1, 6), (5, 5)])
+def test_small_rank_sum_is_exact(spark, sizes):
+    """Against all ways to choose the ranks of one group."""
+    n = sum(sizes)
+    every = sorted(sum(c) - sizes[0] * (sizes[0] - 1) // 2 for c in itertools.combinations(range(n), sizes[0]))
+    for seed in range(4):
+        ranks = random.Random(seed).sample(range(n), sizes[0])
+        w = sum(ranks) - sizes[0] * (sizes[0] - 1) // 2
+        below, above = sum(e <= w for e in every), sum(e >= w for e in every)
+        df = spark.createDataFrame([(1.5 * i, int(i not in ranks)) for i in range(n)], "v double, g int")
+        row = hypothesis.rank_sum(df, "v", "g").first()
+        assert row["w"] == w and row["p_value"] == pytest.approx(min(1.0, 2 * min(below, above) / len(every)))
+
+
+def test_rank_sum_is_approximate_with_ties_or_many_rows(spark):
+    tied = spark.createDataFrame([(1.0, 0), (1.0, 1), (2.0, 0), (3.0, 1)], "v double, g int")
+    many = spark.range(120).selectExpr("CAST(id AS DOUBLE) AS v", "CAST(id % 2 AS INT) AS g")
+    for df in (tied, many):
+        row = hypothesis.rank_sum(df, "v", "g").first()
+        assert row["p_value"] == pytest.approx(tails.normal_two_sided(row["z"]))
+    largest = hypothesis.rank_sum(many.filter("v < 98"), "v", "g").first()  # 49 rows each
+    assert largest["p_value"] == pytest.approx(tails.normal_two_sided(largest["z"]), rel=0.02)
+
+
+def test_fractions_converge_or_raise():
+    assert tails.beta_inc(5e9, 0.5, 1 / (1 + 1.96**2 / 1e10)) == pytest.approx(tails.normal_two_sided(1.96), rel=1e-4)
+    with pytest.raises(ArithmeticError):
+        tails._fraction(lambda i: (1.0, 0.0), limit=100)
+
+
 def test_running_totals_do_not_depend_on_edges(spark):
     rng = random.Random(7)
     rows = [(g, float(v), rng.randint(1, 5)) for g in "ab" for v in rng.sample(range(100), 40)]
