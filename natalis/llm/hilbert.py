@@ -1,7 +1,7 @@
 """Shards cut along a Hilbert curve through several metadata columns.
 
-Each column is cut into cells of about equally many rows (quantiles of its values; a text counts by the number
-its first bytes spell). The cell numbers are the coordinates of a point, and rows are ordered by the point's place
+Each column is cut into cells of about equally many rows: its whole values are counted, and a value's cell is the share of
+rows below it. The cell numbers are the coordinates of a point, and rows are ordered by the point's place
 on a Hilbert curve, so a run of rows covers a small box in all columns at once and files can be skipped by any of
 them. The order is cut into shards whose row counts differ by one at most.
 """
@@ -19,7 +19,6 @@ from natalis.llm.shared import saved
 
 BITS = 5
 SHARDS = 24
-_TEXT_BYTES = 7
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -49,27 +48,34 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def _number(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column's values: a text by its first bytes, anything else as it is."""
-    if dict(df.dtypes)[column] in ("string", "binary"):
-        first = F.substring(F.hex(F.col(column).cast("binary")), 1, 2 * _TEXT_BYTES)
-        return F.conv(F.rpad(first, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
-    return F.col(column).cast("double")
+def _ranges(df: DataFrame, sort: Sequence[str]) -> DataFrame:
+    """Rows sorted inside ranges of the order, which ``_range`` numbers."""
+    parts = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("_range", F.spark_partition_id())
 
 
-def quantised(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str, Column]:
-    """For each column the cell, from 0 up to ``2 ** bits - 1``, of each row; NULL is in cell 0.
+def _ahead(table: DataFrame, measure: Column) -> DataFrame:
+    """(_range, _ahead): the measure's sum over all earlier ranges; one row per range."""
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = table.groupBy("_range").agg(measure.alias("_n"))
+    return sums.select("_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
 
-    The edges are quantiles from one sketch over all rows.
+
+def quantised(df: DataFrame, column: str, out: str, bits: int = BITS) -> DataFrame:
+    """``df`` with the cell of each row, from 0 up to ``2 ** bits - 1``: the share of rows with smaller values.
+
+    Values are counted whole, so the cell depends on the table only. NULL is in cell 0 and not among the rows counted.
     """
-    wanted = [i / (1 << bits) for i in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(_number(df, c), wanted, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-    cells = {}
-    for i, c in enumerate(columns):
-        edges = F.array(*[F.lit(float(e)) for e in sorted(set(row[f"q{i}"] or []))]).cast("array<double>")
-        value = _number(df, c)
-        cells[c] = F.when(value.isNull(), 0).otherwise(F.size(F.filter(edges, lambda e: e < value)))  # noqa: B023
-    return cells
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
+    ranged = saved(_ranges(counts, ["_v"]), "values")
+    total = ranged.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    inside = Window.partitionBy("_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.join(_ahead(ranged, F.sum("_n")), "_range")
+    below = F.col("_ahead") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    cell = F.expr(f"_below * {1 << bits} div {max(total, 1)}").cast("int")
+    cells = placed.withColumn("_below", below).select("_v", cell.alias("_cell"))
+    joined = df.join(cells, F.col(column) == F.col("_v"), "left")
+    return joined.withColumn(out, F.coalesce("_cell", F.lit(0))).drop("_v", "_cell")
 
 
 def curve_order(df: DataFrame, columns: Sequence[str], key: Sequence[str], bits: int = BITS) -> DataFrame:
@@ -78,17 +84,16 @@ def curve_order(df: DataFrame, columns: Sequence[str], key: Sequence[str], bits:
     Rows are sorted in ranges and numbered inside them as they stream by; the ranges' counts are then added up.
     A place on the curve that holds many rows is cut by the key like any other range.
     """
-    spark = df.sparkSession
-    cells = quantised(df, columns, bits)
+    cells = [f"_cell_{i}" for i in range(len(columns))]
+    for column, cell in zip(columns, cells, strict=True):
+        df = quantised(df, column, cell, bits)
 
     @F.pandas_udf("bigint")
     def place(points: pd.Series) -> pd.Series:
         return pd.Series(hilbert_index(np.array(points.tolist(), np.int64).reshape(-1, len(columns)), bits))
 
-    placed = df.withColumn("_curve", place(F.array(*cells.values())))
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sort = ["_curve", *key]
-    ranged = placed.repartitionByRange(parts, *sort).sortWithinPartitions(*sort).withColumn("_range", F.spark_partition_id())
+    placed = df.withColumn("_curve", place(F.array(*cells))).drop(*cells)
+    ranged = _ranges(placed, ["_curve", *key])
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done = 0
@@ -99,9 +104,7 @@ def curve_order(df: DataFrame, columns: Sequence[str], key: Sequence[str], bits:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema) + ", _in bigint"
     numbered = saved(ranged.mapInPandas(number, schema), "curve")
-    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
-    counts = numbered.groupBy("_range").agg(F.count("*").alias("_n"))
-    starts = counts.select("_range", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    starts = _ahead(numbered, F.count("*"))
     return numbered.join(starts, "_range").withColumn("_rank", F.col("_ahead") + F.col("_in")).drop("_range", "_in", "_ahead")
 
 

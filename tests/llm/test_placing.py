@@ -117,3 +117,42 @@ def test_perspectives(spark):
             if p.mask_start is not None:
                 assert whole[p.mask_start : p.mask_stop] == p.segment[len("<|im_start|>assistant\n") : -1]
     assert perspectives.perspectives(table.limit(0)).count() == 0
+
+
+def test_cells_of_whole_values(spark):
+    """Texts with a long common beginning, ties, NULLs: the cell is the share of rows with smaller values."""
+    rng = random.Random(9)
+    texts = [rng.choice([None, *("https://example.org/%03d" % rng.randint(0, 200) for _ in range(9))]) for _ in range(900)] + ["hot"] * 400
+    df = spark.createDataFrame([(i, t, float(i % 7)) for i, t in enumerate(texts)], "id int, t string, x double").repartition(5)
+    known = sorted(t for t in texts if t is not None)
+    below = {t: known.index(t) for t in set(known)}
+    got = {r.id: r.c for r in hilbert.quantised(df, "t", "c").collect()}
+    assert got == {i: 0 if t is None else below[t] * 32 // len(known) for i, t in enumerate(texts)}
+    assert len(set(got.values())) > 15
+    assert {r.x: r.c for r in hilbert.quantised(df, "x", "c", bits=1).collect()}[6.0] == 1
+    assert hilbert.quantised(df.limit(0), "t", "c").count() == 0
+
+
+def test_curve_prunes(spark):
+    """A box query needs few shards; of shards cut without an order it needs them all."""
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.randint(0, 900), "https://crawl.example/%04d" % rng.randint(0, 400), rng.random()) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, source string, score double")
+    placed = {r.doc_id: r.shard for r in hilbert.shards(df, ["source", "score", "size"]).collect()}
+
+    def share(shard_of):
+        edges = {}
+        for key, text, source, score in rows:
+            point = (source, score, len(text) + 8)
+            low, high = edges.setdefault(shard_of(key), [list(point), list(point)])
+            for d in range(3):
+                low[d], high[d] = min(low[d], point[d]), max(high[d], point[d])
+        read = 0
+        for _ in range(60):
+            a, b, c = rng.randint(0, 360), rng.random() * 0.9, rng.randint(0, 800)
+            box = (("https://crawl.example/%04d" % a, b, c), ("https://crawl.example/%04d" % (a + 40), b + 0.1, c + 100))
+            read += sum(all(low[d] <= box[1][d] and high[d] >= box[0][d] for d in range(3)) for low, high in edges.values())
+        return read / (60 * len(edges))
+
+    assert share(lambda key: key % 24) > 0.95
+    assert share(placed.get) < 0.3
