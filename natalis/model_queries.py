@@ -167,6 +167,13 @@ def cross_validation(spark, base):
     return rounded(models.cross_validate(groups, LUNG_FEATURES, cl.LUNG, "person_id"), 4)
 
 
+@query
+def cross_validation_moments(spark, base):
+    """Score equations of the fit of each penalty and fold, on the rows of the other folds."""
+    found = models.fit_folds(_groups(spark, base), LUNG_FEATURES, cl.LUNG, "person_id", oracle.CHECKED_PENALTIES)
+    return models.fold_moments(found, cl.LUNG).withColumn("moment", F.round("moment", 1) + 0.0)
+
+
 @query
 def tree_importance(spark, base):
     fit = models.random_forest(_groups(spark, base), LUNG_FEATURES, cl.LUNG)

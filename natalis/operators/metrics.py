@@ -87,18 +87,20 @@ def macro_scores(df: DataFrame, y: str = "y", pred: str = "y_pred") -> DataFrame
     )
 
 
-def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Rows of each class per score; with ``weight`` a row stands for so many."""
+    n = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     return df.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
+        *[F.sum(F.when(F.col(y) == k, n).otherwise(0)).alias(name) for name, k in (("pos", 1), ("neg", 0))]
     )
 
 
 def _ranked_scores(
-    df: DataFrame, y: str, score: str, by: Sequence[str], edges: Sequence[float] | None
+    df: DataFrame, y: str, score: str, by: Sequence[str], edges: Sequence[float] | None, weight: str | None = None
 ) -> DataFrame:
     """Distinct scores with the class counts above each and the class totals of their group."""
     by = list(by)
-    counts = cut_lineage(score_counts(df, y, score, by))  # the rows are read once; all that follows reads counts
+    counts = cut_lineage(score_counts(df, y, score, by, weight))  # the rows are read once; all that follows reads counts
     ranked = running_totals(counts, "threshold", {"pos_below": "pos", "neg_below": "neg"}, by=by, edges=edges)
     totals = counts.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     if not by:
@@ -136,10 +138,15 @@ def roc_points(
 
 
 def auc(
-    df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (), edges: Sequence[float] | None = None
+    df: DataFrame,
+    y: str = "y",
+    score: str = "score",
+    by: Sequence[str] = (),
+    edges: Sequence[float] | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Area under the ROC curve: trapezoids over distinct scores, so ties count one half."""
-    ranked = _ranked_scores(df, y, score, by, edges)
+    ranked = _ranked_scores(df, y, score, by, edges, weight)
     area = F.sum(F.col("neg") * (F.col("pos_above") + F.col("pos") / 2))
     norm = F.max(F.col("all_pos")).cast("double") * F.max(F.col("all_neg"))
     grouped = ranked.groupBy(*by) if by else ranked.groupBy()

@@ -66,13 +66,13 @@ def ridge_grid(
     features: Sequence[str],
     label: np.ndarray,
     factor: np.ndarray,
-    c: float = 1.0,
+    c: float | Sequence[float] = 1.0,
     tol: float = 1e-8,
     limit: int = 50,
 ) -> list[LinearFit]:
     """Fits of ``label[k][cell]`` with weight ``n * factor[k][cell]`` for a table (features, cell, n).
 
-    Penalty ``|w|² / 2`` against ``c`` times the loss, intercept free. A fit whose weighted cells all carry
+    Penalty ``|w|² / 2`` against ``c`` times the loss, one ``c`` for all fits or one for each; intercept free. A fit whose weighted cells all carry
     one label is the constant of that label. A step that does not lower the loss is halved. Fits that are still
     moving after ``limit`` passes are an error.
     """
@@ -81,7 +81,7 @@ def ridge_grid(
     fixed = {k: set(label[k][seen[k]]) for k in range(fits)}
     betas, steps = np.zeros((fits, q)), np.zeros((fits, q))
     value = np.full(fits, np.inf)
-    penalty = np.diag(np.r_[0.0, np.ones(q - 1)]) / c
+    penalties = [np.diag(np.r_[0.0, np.ones(q - 1)]) / v for v in np.broadcast_to(np.asarray(c, float), fits)]
     open_ = [k for k in range(fits) if len(fixed[k]) == 2]
     for _ in range(limit):
         if not open_:
@@ -89,6 +89,7 @@ def ridge_grid(
         loss, slope, hess = _pass(table, features, betas[open_], label[open_], factor[open_])
         still = []
         for i, k in enumerate(open_):
+            penalty = penalties[k]
             total = loss[i] + 0.5 * float(betas[k] @ penalty @ betas[k])
             if total > value[k] + 1e-12 * abs(total):
                 steps[k] = steps[k] / 2.0

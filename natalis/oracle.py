@@ -691,6 +691,24 @@ def _likelihoods(rounds: int = 12) -> str:
     )
 
 
+CHECKED_PENALTIES = (0.01, 0.1)
+
+
+def _fold_moments(features, folds: int = 3) -> str:
+    """Observed side of the score equations of each penalty and fold: sum of y times each term over the other folds."""
+    fold = f"CAST(floor(({hash_uniform('person_id')}) * {folds}) AS INTEGER)"
+    sums = [("(Intercept)", f"sum({cl.LUNG})"), *((f, f"sum({cl.LUNG} * {f})") for f in features)]
+    parts = [
+        f"SELECT CAST({p!r} AS DOUBLE) AS penalty, {k} AS fold, '{name}' AS term, {r6(f'CAST({total} AS DOUBLE)', 1)} AS moment "
+        f"FROM folded WHERE fold <> {k}"
+        for p in CHECKED_PENALTIES
+        for k in range(folds)
+        for name, total in sums
+    ]
+    steps = sql("", "flagged_groups").strip() + f", folded AS MATERIALIZED (SELECT *, {fold} AS fold FROM flagged_groups)"
+    return f"{steps} {' UNION ALL '.join(parts)}"
+
+
 def _mixed_moments() -> str:
     """Observed side of the score equations: sum of y times each term over the complete rows of a model."""
     parts = []
@@ -820,6 +838,7 @@ def model_texts() -> dict[str, str]:
     out: dict[str, str] = {}
     lung = ["age", *[c for c in cl.COMORBIDITIES if c != cl.LUNG], cl.MORTALITY, "sex_privilege", "race_privilege"]
     out["lr_lung"] = sql(_observed_moments(cl.LUNG, lung, "flagged_groups", "true"), "flagged_groups")
+    out["cross_validation_moments"] = _fold_moments(lung)
     death = [*cl.COMORBIDITIES, "sex_privilege", "race_privilege", "age"]
     out["lr_mortality"] = sql(
         _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"

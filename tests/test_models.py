@@ -151,6 +151,23 @@ def test_newton_equals_mllib(spark, patients):
     assert constant.intercept > 0 and set(constant.weights.values()) == {0.0}
 
 
+def test_folds_share_passes_and_equal_mllib(spark, patients):
+    from pyspark.ml.classification import LogisticRegression
+
+    _, df = patients
+    found = models.fit_folds(df, ["e", "age"], "y", "id", (0.0, 0.1))
+    marked = models.assemble(df.withColumn("fold", models.fold_of("id", 3)), ["e", "age"])
+    areas = {0.0: [], 0.1: []}
+    for (penalty, fold), fit in found.fits.items():
+        train = marked.filter(F.col("fold") != fold)
+        mllib = LogisticRegression(featuresCol=models.FEATURES, labelCol="y", regParam=penalty, tol=1e-10).fit(train)
+        assert list(fit.weights.values()) == pytest.approx(mllib.coefficients.toArray(), rel=0.03)
+        held = fit.transform(marked.filter(F.col("fold") == fold))
+        areas[penalty].append(models.auc(held, y="y").first()["auc"])
+    got = {r["penalty"]: r["mean_auc"] for r in models.cross_validate(df, ["e", "age"], "y", "id", (0.0, 0.1)).collect()}
+    assert got == pytest.approx({p: sum(a) / 3 for p, a in areas.items()})
+
+
 def test_split_does_not_depend_on_layout(spark):
     df = spark.range(2000)
     one = {r["id"]: r["split"] for r in models.with_split(df, "id").collect()}
