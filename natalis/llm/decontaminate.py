@@ -136,7 +136,9 @@ def without_overlaps(
 ) -> DataFrame:
     """The rows of ``docs`` that share no window with a benchmark item, with all their columns.
 
-    Rows with the id of an overlapping document go with it; a NULL id is an id like any other here.
+    Rows are known by id and text hash: another text under the id of an overlapping document stays, NULL ids included.
     """
-    found = overlaps(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_found")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["_found"]), "left_anti")
+    digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), digest.alias("digest")).alias("_key"), F.col(text_col).alias("_text"))
+    found = overlaps(keyed, benchmark, "_key", "_text", **options).select(F.col("_key.id").alias("_found"), F.col("_key.digest").alias("_digest")).distinct()
+    return docs.join(found, docs[id_col].eqNullSafe(found["_found"]) & (digest == found["_digest"]), "left_anti")

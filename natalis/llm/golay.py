@@ -286,13 +286,25 @@ def near_duplicates(
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, with all their columns.
+    """One row of each component, with all its columns: the smallest id's, and of rows with that id the smallest text hash's.
 
-    Rows that share this id are one document and all stay; so does a component that has NULL ids only.
+    NULL ids come after all others. Of equal rows one stays.
     """
-    groups = near_duplicates(docs, id_col, text_col, **options)
-    chosen = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_chosen")).distinct()
-    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_chosen"]), "left_semi")
+    digest = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest"))
+    groups = near_duplicates(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text", **options)
+    chosen = groups.filter(F.col("_key") == F.col("component_id")).groupBy("_key").agg(F.count("*").alias("_rows"))
+    chosen = saved(chosen.select(F.col("_key.id").alias("_id"), F.col("_key.digest").alias("_digest"), "_rows"), "chosen")
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        return docs.join(some, docs[id_col].eqNullSafe(some["_id"]) & (digest == some["_digest"]), "left_semi")
+
+    single = rows_of(chosen.filter("_rows = 1"))
+    repeated = chosen.filter("_rows > 1")
+    if repeated.isEmpty():
+        return single
+    copies = rows_of(repeated).withColumn("_digest", digest).dropDuplicates([id_col, "_digest"]).drop("_digest")
+    return single.unionByName(copies)
 
 
 def hex_fingerprint(column: str = "fp") -> Column:
