@@ -9,6 +9,10 @@ at least ``MIN_EQUAL`` equal words is an overlap.
 Most positions of most documents match nothing. Before anything is shuffled, their hashes are looked up in a bit
 table of all benchmark hashes. Its size is fixed, so it can be part of the plan; with a very large benchmark it
 lets more positions pass, which the join then drops.
+
+Items of fewer than ``WINDOW`` words have no window. They are looked for as a whole: the hash of all their words is
+joined to the hashes of as many words at every place of a document. Items of fewer than ``LEAST_INSIDE`` words are
+ordinary phrases, which clean documents hold too; they only overlap documents that consist of just these words.
 """
 
 from __future__ import annotations
@@ -22,11 +26,20 @@ WINDOW, MIN_EQUAL = 12, 10
 #: together they have a clean place in every 12 words with two substitutions (a test goes through all of them)
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 2, 3, 5, 6), (0, 1, 4, 7, 8, 9))
 TABLE_BITS = 1 << 22
+#: items of at least so many words are found inside a document, shorter ones only as the whole document
+LEAST_INSIDE = 5
+#: scripts written without blanks; each of their letters counts as a word
+UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 
 def word_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits; an empty array for a NULL text."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Hashes of the lower-cased runs of letters and digits; an empty array for a NULL text.
+
+    Letters of a script that is written without blanks are words of their own.
+    """
+    text, letter = F.coalesce(text, F.lit("")), "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
+    text = F.when(text.rlike(f"[{letter}]"), F.regexp_replace(text, f"([{letter}])", " $1 ")).otherwise(text)
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -45,6 +58,12 @@ def _seeds(df: DataFrame, hashes: str, masks: Sequence[Sequence[int]], place: st
     return rows.withColumns({"seed": F.xxhash64(number, *words), place: at, "_mask": number, "_tick": F.monotonically_increasing_id()})
 
 
+def _whole(hashes: str, size: str, place: Column) -> dict[str, Column]:
+    """The ``size`` words from a place on, and their hash as ``seed``."""
+    words = F.slice(F.col(hashes), place + 1, F.col(size))
+    return {"seed": F.xxhash64(F.lit(-1), F.col(size), words), "_words": words}
+
+
 def _around(hashes: str, place: str, window: int) -> Column:
     """The words of all windows through a place: at most window - 1 before it and window after its first."""
     first = F.greatest(F.col(place) - (window - 1), F.lit(0))
@@ -83,18 +102,22 @@ def overlaps(
     """(id, item, doc_start, doc_end, item_start, n_windows, max_equal) per document, item and alignment.
 
     Positions count words from 0; the overlap runs from the first word of its first window to the end of its
-    last. Texts of fewer than ``window`` words overlap nothing, so NULL and empty texts have no rows. Repeated
+    last. An item of fewer than ``window`` words is one window of its own length, all of whose words must be equal;
+    below ``LEAST_INSIDE`` words it must be the whole document. NULL, empty and blank texts have no rows. Repeated
     documents or items with one id count once; NULL ids are kept as such. All masks have equally many positions.
     """
     items = benchmark.select(F.col(item_col).alias("_item"), word_hashes(F.col(item_text_col).cast("string")).alias("_b"))
     reach = F.get(F.array(*[F.lit(m[-1]) for m in masks]), F.col("_mask"))
     seeds = _seeds(items.filter(F.size("_b") >= window), "_b", masks, "_j").filter(F.col("_j") + reach < F.size("_b"))
     seeds = seeds.select("seed", "_item", "_j", _around("_b", "_j", window).alias("_near_b"))
+    short = items.withColumn("_size", F.size("_b")).filter(F.col("_size").between(1, window - 1))
+    short = short.withColumns(_whole("_b", "_size", F.lit(0))).select("seed", "_item", "_words")
+    table = bit_table(seeds.select("seed").unionByName(short.select("seed")), bits)
 
     words = docs.select(F.col(id_col).alias("_doc"), word_hashes(F.col(text_col).cast("string")).alias("_a"))
     places = _seeds(words.filter(F.size("_a") >= window), "_a", masks, "_i")
     at, pattern = _word_and_bits(F.col("seed"), bits // 64)
-    known = F.get(bit_table(seeds.select("seed"), bits).scalar(), at).bitwiseAND(pattern) == pattern
+    known = F.get(table.scalar(), at).bitwiseAND(pattern) == pattern
     hits = places.filter(known & (F.col("_tick") >= 0)).select("seed", "_doc", "_i", _around("_a", "_i", window).alias("_near_a"))
     pairs = hits.join(seeds, "seed")
     # the hit's own place in either slice, then both slices from the same word before it
@@ -118,10 +141,23 @@ def overlaps(
         (F.col("_i") + F.col("_w.shift")).alias("_start"),
         (F.col("_j") + F.col("_w.shift")).alias("_item_start"),
         F.col("_w.equal").alias("_n"),
-    ).distinct()
+        F.lit(window).alias("_size"),
+    )
+    # without short items, the list of their lengths is empty and no text is taken apart a second time
+    sizes = short.agg(F.collect_set(F.size("_words")).alias("sizes")).scalar()
+    texts = docs.filter(F.size(sizes) > 0).select(
+        F.col(id_col).alias("_doc"), word_hashes(F.col(text_col).cast("string")).alias("_a"), sizes.alias("_sizes")
+    )
+    fits = F.filter("_sizes", lambda m: (m == F.size("_a")) | ((m >= LEAST_INSIDE) & (m < F.size("_a"))))
+    texts = texts.withColumn("_size", F.explode(fits))
+    texts = texts.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("_a") - F.col("_size"))))
+    texts = texts.withColumns({**_whole("_a", "_size", F.col("_i")), "_tick": F.monotonically_increasing_id()})
+    found = texts.filter(known & (F.col("_tick") >= 0)).select("seed", "_words", "_doc", "_i", "_size").join(short, ["seed", "_words"])
+    whole = found.select("_doc", "_item", F.col("_i").alias("_start"), F.lit(0).alias("_item_start"), F.col("_size").alias("_n"), "_size")
+    windows = windows.unionByName(whole).distinct()
     grouped = windows.groupBy("_doc", "_item", F.col("_start") - F.col("_item_start")).agg(
         F.min("_start").alias("doc_start"),
-        (F.max("_start") + window).alias("doc_end"),
+        F.max(F.col("_start") + F.col("_size")).alias("doc_end"),
         F.min("_item_start").alias("item_start"),
         F.count("*").alias("n_windows"),
         F.max("_n").alias("max_equal"),

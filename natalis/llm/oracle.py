@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from natalis.llm import decontaminate, perspectives
 
-_W, _EQUAL = decontaminate.WINDOW, decontaminate.MIN_EQUAL
+_W, _EQUAL, _INSIDE = decontaminate.WINDOW, decontaminate.MIN_EQUAL, decontaminate.LEAST_INSIDE
+_LETTER = "".join(f"\\p{{{script}}}" for script in decontaminate.UNSPACED)
+_WORDS = f"regexp_extract_all(lower(regexp_replace(coalesce(text, ''), '([{_LETTER}])', ' \\1 ', 'g')), '[\\p{{L}}\\p{{N}}]+')"
 
-#: every aligned window of equal size, found from all pairs of equal words on one alignment
+#: every aligned window of equal size, found from all pairs of equal words on one alignment; short items by their whole list
 DECONTAMINATE = f"""
-WITH doc AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
-item AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM benchmark),
+WITH doc AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 a AS (SELECT doc_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS i FROM doc WHERE len(w) >= {_W}),
 b AS (SELECT item_id, len(w) AS m, unnest(w) AS word, unnest(range(len(w))) AS j FROM item WHERE len(w) >= {_W}),
 pairs AS (SELECT doc_id, item_id, i - j AS shift, n, m, i FROM a JOIN b USING (word)),
@@ -18,11 +20,22 @@ windows AS (
   SELECT doc_id, item_id, shift, n, m, i - back AS s, count(*) AS equal
   FROM pairs JOIN likely USING (doc_id, item_id, shift), range({_W}) r(back)
   GROUP BY ALL
+),
+short AS (SELECT item_id, w, len(w) AS size FROM item WHERE len(w) BETWEEN 1 AND {_W - 1}),
+places AS (
+  SELECT doc_id, size, w, unnest(range(len(w) - size + 1)) AS s
+  FROM doc, (SELECT DISTINCT size FROM short) WHERE len(w) = size OR (len(w) > size AND size >= {_INSIDE})
+),
+found AS (
+  SELECT doc_id, item_id, shift, s, {_W} AS size, equal FROM windows
+  WHERE equal >= {_EQUAL} AND s >= 0 AND s + {_W} <= n AND s - shift >= 0 AND s - shift + {_W} <= m
+  UNION ALL
+  SELECT doc_id, item_id, s AS shift, s, p.size, p.size AS equal
+  FROM places p JOIN short i ON p.size = i.size AND p.w[s + 1 : s + p.size] = i.w
 )
-SELECT doc_id, item_id, CAST(min(s) AS INTEGER) AS doc_start, CAST(max(s) + {_W} AS INTEGER) AS doc_end,
+SELECT doc_id, item_id, CAST(min(s) AS INTEGER) AS doc_start, CAST(max(s + size) AS INTEGER) AS doc_end,
   CAST(min(s - shift) AS INTEGER) AS item_start, count(*) AS n_windows, CAST(max(equal) AS INTEGER) AS max_equal
-FROM windows
-WHERE equal >= {_EQUAL} AND s >= 0 AND s + {_W} <= n AND s - shift >= 0 AND s - shift + {_W} <= m
+FROM found
 GROUP BY doc_id, item_id, shift
 """
 
