@@ -30,6 +30,8 @@ TABLE_BITS = 1 << 22
 LEAST_INSIDE = 5
 #: scripts written without blanks; each of their letters counts as a word
 UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+#: code points that may belong to one of these scripts, by two plain ranges, which are quicker to test
+_MAYBE_UNSPACED = r"[\x{0E00}-\x{1FFF}\x{2E80}-\x{10FFFF}]"
 
 
 def word_hashes(text: Column) -> Column:
@@ -38,7 +40,7 @@ def word_hashes(text: Column) -> Column:
     Letters of a script that is written without blanks are words of their own.
     """
     text, letter = F.coalesce(text, F.lit("")), "".join(rf"\p{{Is{script}}}" for script in UNSPACED)
-    text = F.when(text.rlike(f"[{letter}]"), F.regexp_replace(text, f"([{letter}])", " $1 ")).otherwise(text)
+    text = F.when(text.rlike(_MAYBE_UNSPACED), F.regexp_replace(text, f"([{letter}])", " $1 ")).otherwise(text)
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
