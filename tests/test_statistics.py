@@ -2,6 +2,8 @@ import itertools
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +147,32 @@ def test_correlation_edge_cases(spark):
     assert correlate.drop_correlated(df, ["a", "b", "k", "m"]).columns == ["a", "k"]
 
 
+def test_correlation_by_tiles(spark):
+    rng = np.random.default_rng(11)
+    p = 11
+    x = rng.normal(size=(900, p)) @ rng.normal(size=(p, p)) + 1e6 * np.arange(p)
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:600, 9] = np.nan  # absent from the first slices, with a large mean
+    x[:, 4], x[:, 7] = 3.0, np.nan  # constant, and never present
+    names = [f"c{i}" for i in range(p)]
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+    frame = pd.DataFrame(x, columns=names)
+    wanted = frame.corr()
+    for tile, parts in ((1, 2), (4, 5), (4, 1), (11, 5), (512, 1)):
+        got = correlate.correlations(df.coalesce(1) if parts == 1 else df.repartition(parts), names, tile=tile).collect()
+        assert len({(r["feature_a"], r["feature_b"]) for r in got}) == len(got) == p * (p - 1) // 2
+        for r in got:
+            a, b = r["feature_a"], r["feature_b"]
+            assert names.index(a) < names.index(b)
+            assert r["n"] == int((frame[a].notna() & frame[b].notna()).sum())
+            if {a, b} & {"c4", "c7"}:
+                assert r["r"] is None
+            else:
+                assert r["r"] == pytest.approx(wanted.loc[a, b], abs=1e-9)
+        assert correlate.correlations(df.limit(0), names, tile=tile).count() == 0
+
+
 def test_scaling_and_selection(spark):
     df = spark.createDataFrame([(1, 5, 0), (3, 5, 1), (5, 5, 0)], "x int, k int, t int")
     scaled = features.zscore(df, ["x", "k"], ddof=0)
