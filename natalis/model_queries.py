@@ -188,6 +188,21 @@ def permutation_importance(spark, base):
     return rounded(models.permutation_importance(groups, fit, cl.LUNG, "person_id"))
 
 
+@query
+def permutation_stated(spark, base):
+    """Permutation importance of a score with stated weights."""
+    fit = models.LinearFit(oracle.STATED_INTERCEPT, oracle.stated_weights(LUNG_FEATURES))
+    return rounded(models.permutation_importance(_groups(spark, base), fit, cl.LUNG, "person_id"))
+
+
+@query
+def permutation_forest(spark, base):
+    """Permutation importance of a random forest: fitted on the training rows, measured on the test rows."""
+    groups = models.with_split(_groups(spark, base), "person_id")
+    fit = models.random_forest(groups.filter(F.col("split") == "train"), LUNG_FEATURES, cl.LUNG)
+    return rounded(models.permutation_importance(groups.filter(F.col("split") == "test"), fit, cl.LUNG, "person_id"))
+
+
 # --- imbalance and bias ------------------------------------------------------------------------------
 
 

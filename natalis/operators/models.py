@@ -286,32 +286,41 @@ def feature_importance(fit: LinearFit | VectorFit, spark: SparkSession) -> DataF
 
 
 def permutation_importance(
-    df: DataFrame, fit: LinearFit, target: str, key: str, features: Sequence[str] | None = None, seed: int = 42
+    df: DataFrame, fit: LinearFit | VectorFit, target: str, key: str, features: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
-    """Loss of accuracy when one feature is replaced by its value on another row.
+    """Loss of accuracy when one feature is replaced by its value on another row, (feature, importance).
 
-    For a linear score the exchange needs no shuffle of rows: rows and donors are both numbered by hash,
-    and a row receives the value of the row next in that order.
+    Rows and donors are both numbered by hash, and a row receives the value of the row before it in that order, so donors
+    are attached by one join for all features. A linear score is then corrected by the difference of the two values.
+    Any other model scores the exchanged copies of a row, which are made in the same task and never shuffled.
     """
-    features = list(features or fit.weights)
-    rows = complete_rows(df.select(key, target, *fit.weights), [target, *fit.weights])
+    inputs = list(fit.weights if isinstance(fit, LinearFit) else fit.features)
+    features = list(features or inputs)
+    rows = complete_rows(df.select(key, target, *inputs), [target, *inputs])
     numbered = number_rows(rows, key, out="_no", seed=seed)
     total = rows.count()
     donors = numbered.select(
         F.pmod(F.col("_no") + 1, F.lit(total)).alias("_no"), *[F.col(c).alias(f"_d_{c}") for c in features]
     )
     rows = numbered.join(donors, "_no")
-
-    def hit(eta: Column) -> Column:
-        return flag(flag(eta > 0) == F.col(target))
-
-    shifted = {c: fit.eta() + (F.col(f"_d_{c}") - F.col(c)) * F.lit(float(fit.weights[c])) for c in features}
-    table = rows.agg(
-        F.avg(hit(fit.eta())).alias("_base"), *[F.avg(hit(e)).alias(c) for c, e in shifted.items()]
-    )
-    return table.unpivot(["_base"], list(features), "feature", "_acc").select(
-        "feature", (F.col("_base") - F.col("_acc")).alias("importance")
-    )
+    if isinstance(fit, LinearFit):
+        shifted = {c: fit.eta() + (F.col(f"_d_{c}") - F.col(c)) * F.lit(float(fit.weights[c])) for c in features}
+        hits = {c: F.avg(flag(flag(e > 0) == F.col(target))) for c, e in {"_base": fit.eta(), **shifted}.items()}
+        table = rows.agg(*[e.alias(c) for c, e in hits.items()]).unpivot(["_base"], features, "feature", "_acc")
+    else:
+        copies = F.array(
+            *[
+                F.struct(F.lit(k).alias("_k"), *[F.col(f"_d_{c}" if c == new else c).alias(c) for c in inputs])
+                for k, new in enumerate([None, *features])
+            ]
+        )
+        scored = fit.transform(rows.select(F.col(target).alias("_y"), F.explode(copies).alias("_c")).select("_y", "_c.*"), "_hat", None)
+        accuracy = scored.groupBy("_k").agg(F.avg(flag(F.col("_hat") == F.col("_y"))).alias("_acc"))
+        # a row per feature is left
+        whole = accuracy.agg(F.max(F.when(F.col("_k") == 0, F.col("_acc"))).alias("_base"), F.collect_list(F.struct("_k", "_acc")).alias("_all"))
+        each = whole.select("_base", F.explode("_all").alias("_one")).select("_base", "_one.*").filter(F.col("_k") > 0)
+        table = each.withColumn("feature", F.get(F.array(*[F.lit(c) for c in features]), F.col("_k") - 1))
+    return table.select("feature", (F.col("_base") - F.col("_acc")).alias("importance"))
 
 
 # --- leakage audit --------------------------------------------------------------------------------------

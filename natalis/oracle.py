@@ -709,6 +709,30 @@ def _fold_moments(features, folds: int = 3) -> str:
     return f"{steps} {' UNION ALL '.join(parts)}"
 
 
+#: weights in quarters and sixteenths keep the sums of a stated score exact
+STATED_INTERCEPT = -3.0
+
+
+def stated_weights(features) -> dict[str, float]:
+    return {f: 0.0625 if f == "age" else (k % 7 - 2) * 0.25 for k, f in enumerate(features)}
+
+
+def _permutation(features, seed: int = 42) -> str:
+    """Accuracy of the stated score, less that with a feature's values taken from the row before in digest order."""
+    weights = stated_weights(features)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (cl.LUNG, *features))
+    eta = " + ".join([repr(STATED_INTERCEPT), *(f"{w!r}::DOUBLE * r.{f}" for f, w in weights.items())])
+    hit = lambda e: f"avg(CASE WHEN (CASE WHEN {e} > 0 THEN 1 ELSE 0 END) = r.{cl.LUNG} THEN 1 ELSE 0 END)"
+    order = f"ORDER BY md5(concat_ws('|', CAST(person_id AS VARCHAR), '{seed}')), person_id"
+    loss = ", ".join(r6(f"{hit(eta)} - {hit(f'{eta} + {w!r}::DOUBLE * (d.{f} - r.{f})')}") + f" AS {f}" for f, w in weights.items())
+    steps = sql("", "flagged_groups").strip()
+    return (
+        f"{steps}, numbered AS MATERIALIZED (SELECT *, row_number() OVER ({order}) - 1 AS no FROM flagged_groups WHERE {known}), "
+        f"losses AS (SELECT {loss} FROM numbered r JOIN numbered d ON r.no = (d.no + 1) % (SELECT count(*) FROM numbered)) "
+        f"UNPIVOT losses ON {', '.join(weights)} INTO NAME feature VALUE importance"
+    )
+
+
 def _mixed_moments() -> str:
     """Observed side of the score equations: sum of y times each term over the complete rows of a model."""
     parts = []
@@ -839,6 +863,7 @@ def model_texts() -> dict[str, str]:
     lung = ["age", *[c for c in cl.COMORBIDITIES if c != cl.LUNG], cl.MORTALITY, "sex_privilege", "race_privilege"]
     out["lr_lung"] = sql(_observed_moments(cl.LUNG, lung, "flagged_groups", "true"), "flagged_groups")
     out["cross_validation_moments"] = _fold_moments(lung)
+    out["permutation_stated"] = _permutation(lung)
     death = [*cl.COMORBIDITIES, "sex_privilege", "race_privilege", "age"]
     out["lr_mortality"] = sql(
         _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"

@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -348,3 +350,33 @@ def test_node_round_trip(spark, tmp_path, patients):
     path = write_node(df, str(tmp_path / "node"), partition_by=["g"])
     back = read_node(spark, path)
     assert back.select(*df.columns).exceptAll(df.select(*df.columns)).count() == 0 and back.count() == df.count()
+
+
+def test_permutation_importance_of_any_model(spark):
+    rng = random.Random(17)
+    rows = [(i, rng.randint(0, 6), rng.randint(0, 1), 5, None if i % 50 == 0 else rng.randint(0, 9)) for i in range(400)]
+    rows = [(*r, int(r[1] + 2 * r[2] > 4)) for r in rows]
+    df = spark.createDataFrame(rows, "id int, a int, b int, k int, other int, y int").repartition(4)
+    linear = models.LinearFit(-4.5, {"a": 1.0, "b": 2.0, "k": 0.0})
+
+    class AsModel:
+        """The same score as a model that is known by its columns only."""
+
+        features = ["a", "b", "k"]
+        transform = staticmethod(linear.transform)
+
+    one = {r["feature"]: r["importance"] for r in models.permutation_importance(df, linear, "y", "id").collect()}
+    two = {r["feature"]: r["importance"] for r in models.permutation_importance(df, AsModel(), "y", "id").collect()}
+    order = sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}|42".encode()).hexdigest())
+    wanted = {}
+    for at, name in ((1, "a"), (2, "b"), (3, "k")):
+        hits = 0
+        for before, row in zip([order[-1], *order], order):
+            x = [before[c] if c == at else row[c] for c in (1, 2, 3)]
+            hits += int(x[0] + 2 * x[1] > 4) == row[5]
+        wanted[name] = 1.0 - hits / len(rows)
+    assert one == pytest.approx(wanted) and two == pytest.approx(wanted)
+    assert wanted["k"] == 0 and wanted["a"] > wanted["b"] > 0
+    forest = models.random_forest(df, ["a", "b", "k"], "y", trees=10, depth=4)
+    found = {r["feature"]: r["importance"] for r in models.permutation_importance(df, forest, "y", "id", ["b", "a"]).collect()}
+    assert set(found) == {"a", "b"} and found["a"] > 0.1
