@@ -383,6 +383,7 @@ def core_texts() -> dict[str, str]:
     out["patient_summary"] = sql("SELECT * FROM summary", "summary")
     out["patient_summary_plain"] = out["patient_summary"]
     out["history_table"] = sql("SELECT * FROM history", "history")
+    out["history_node"] = out["history_table"]
     out["exclude_prior"] = sql(
         f"SELECT person_id, {', '.join(cl.INCIDENT_OUTCOMES)} FROM history", "history"
     )

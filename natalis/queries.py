@@ -13,6 +13,7 @@ from natalis.operators import cohort, correlate, describe, fairness, features, f
 from natalis.plans import chains
 from natalis.plans import clinical as cl
 from natalis.sources import fixtures as fx
+from natalis.sources.store import fresh_node, read_node, write_node
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -272,6 +273,13 @@ def history_table(spark, base):
     return _history(spark, base)
 
 
+@query
+def history_node(spark, base):
+    """The history table written as a node partitioned by race, and read back."""
+    path = write_node(_history(spark, base), fresh_node(spark, "history"), ["race"])
+    return read_node(spark, path)
+
+
 @query
 def exclude_prior(spark, base):
     return _history(spark, base).select("person_id", *cl.INCIDENT_OUTCOMES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +31,12 @@ def write_node(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder, so that iterations do not recompute its inputs.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, set as the checkpoint folder if none is.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session without one gets a
+    It is the cluster's ``spark.checkpoint.dir``. Only a local session without one gets a
     temporary folder; elsewhere such a folder would not be visible to all executors.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
@@ -45,4 +45,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="natalis-checkpoint-")
         context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
+
+
+def fresh_node(spark: SparkSession, name: str) -> str:
+    """Path of a new node in the shared folder; no two calls return the same."""
+    return f"{checkpoint_folder(spark)}/node-{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the checkpoint folder, so that iterations do not recompute its inputs."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
