@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis import oracle
-from natalis.operators import balance, fairness, features, filters, hypothesis, imbalance, matching, metrics, mitigate, mixed, models
+from natalis.operators import balance, boosting, fairness, features, filters, hypothesis, imbalance, matching, metrics, mitigate, mixed, models
 from natalis.plans import chains
 from natalis.plans import clinical as cl
 from natalis.queries import _groups, _summary, query, rounded
@@ -156,6 +156,30 @@ def gradient_boosting(spark, base):
     return _trees(spark, base, models.gradient_boosting)
 
 
+@query
+def boosted_first_gains(spark, base):
+    """Second-order gain of every stated cut of the first tree's root."""
+    edges = oracle.stated_edges(LUNG_FEATURES)
+    return rounded(boosting.first_gains(_groups(spark, base), LUNG_FEATURES, cl.LUNG, edges), 5)
+
+
+@query
+def boosted_trees(spark, base):
+    """Nodes of three second-order trees over the stated cuts."""
+    edges = oracle.stated_edges(LUNG_FEATURES)
+    fit = boosting.fit_boosted(_groups(spark, base), LUNG_FEATURES, cl.LUNG, rounds=3, depth=2, edges=edges)
+    return rounded(fit.table(spark).drop("missing_first"), 5)
+
+
+@query
+def boosted_report(spark, base):
+    """Macro scores of second-order boosting on the test rows, cuts at equal shares of the training rows."""
+    groups = cut_lineage(models.with_split(_groups(spark, base), "person_id"))
+    fit = boosting.fit_boosted(groups.filter(F.col("split") == "train"), LUNG_FEATURES, cl.LUNG, rounds=10, depth=3)
+    test = fit.transform(groups.filter(F.col("split") == "test")).withColumn("y", F.col(cl.LUNG))
+    return rounded(metrics.macro_scores(test))
+
+
 @query
 def linear_svm(spark, base):
     return _trees(spark, base, models.linear_svm)

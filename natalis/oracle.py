@@ -734,6 +734,62 @@ def _permutation(features, seed: int = 42) -> str:
     )
 
 
+#: cuts of the checked trees: flags at 0, age every five years
+def stated_edges(features) -> dict[str, list[float]]:
+    return {f: [float(v) for v in range(5, 90, 5)] if f == "age" else [0.0] for f in features}
+
+
+def _boosting(features, rounds: int = 0, depth: int = 2, rate: float = 0.3, penalty: float = 1.0, least: float = 1.0) -> str:
+    """Boosted trees by trying every stated cut at every node; without rounds the gains of the cuts of the first root."""
+    known = " AND ".join(f"{c} IS NOT NULL" for c in (cl.LUNG, *features))
+    longs = " UNION ALL ".join(f"SELECT person_id, {i} AS f, CAST({c} AS DOUBLE) AS v FROM rows_" for i, c in enumerate(features))
+    cuts = ", ".join(f"({i}, '{c}', {e!r}::DOUBLE)" for i, c in enumerate(features) for e in stated_edges(features)[c])
+    part = lambda g, h: f"pow({g}, 2) / ({h} + {penalty!r}::DOUBLE)"
+    gain = f"round(({part('g', 'h')} + {part('ag - g', 'ah - h')} - {part('ag', 'ah')}) / 2, 9)"
+    steps = [
+        sql("", "flagged_groups").strip(),
+        f"rows_ AS MATERIALIZED (SELECT * FROM flagged_groups WHERE {known})",
+        f"long_ AS MATERIALIZED ({longs})",
+        f"cuts AS (SELECT * FROM (VALUES {cuts}) c(f, feature, edge))",
+        f"m0 AS (SELECT person_id, CAST({cl.LUNG} AS DOUBLE) AS y, 0.0::DOUBLE AS margin FROM rows_)",
+    ]
+    parts = []
+    for r in range(1, max(rounds, 1) + 1):
+        p = "1 / (1 + exp(-margin))"
+        steps.append(f"t{r}_0 AS MATERIALIZED (SELECT person_id, y, margin, 1 AS node, {p} - y AS dg, {p} * (1 - {p}) AS dh FROM m{r - 1})")
+        for level in range(depth if rounds else 1):
+            here = f"t{r}_{level}"
+            steps.append(
+                f"g{r}_{level} AS MATERIALIZED (SELECT *, {gain} AS gain FROM (SELECT node, f, feature, edge, "
+                "coalesce(sum(dg) FILTER (v <= edge), 0) AS g, coalesce(sum(dh) FILTER (v <= edge), 0) AS h, sum(dg) AS ag, sum(dh) AS ah "
+                f"FROM {here} JOIN long_ USING (person_id) JOIN cuts USING (f) WHERE node >= {1 << level} GROUP BY node, f, feature, edge) "
+                f"WHERE h >= {least!r} AND ah - h >= {least!r})"
+            )
+            steps.append(
+                f"b{r}_{level} AS MATERIALIZED (SELECT * FROM g{r}_{level} WHERE gain > 0 "
+                "QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, edge) = 1)"
+            )
+            steps.append(
+                f"t{r}_{level + 1} AS MATERIALIZED (SELECT t.person_id, y, margin, dg, dh, CASE WHEN b.node IS NULL THEN t.node "
+                f"WHEN v <= edge THEN 2 * t.node ELSE 2 * t.node + 1 END AS node FROM {here} t LEFT JOIN b{r}_{level} b ON b.node = t.node "
+                "LEFT JOIN long_ l ON l.person_id = t.person_id AND l.f = b.f)"
+            )
+            parts.append(
+                f"SELECT {r} AS tree, node, feature, edge, {r6('gain', 5)} AS gain, {r6('ah', 5)} AS curvature, CAST(NULL AS DOUBLE) AS weight FROM b{r}_{level}"
+            )
+        last = f"t{r}_{depth}" if rounds else f"t{r}_1"
+        steps.append(
+            f"w{r} AS MATERIALIZED (SELECT node, sum(dh) AS ah, -{rate!r}::DOUBLE * sum(dg) / (sum(dh) + {penalty!r}::DOUBLE) AS weight FROM {last} GROUP BY node)"
+        )
+        steps.append(f"m{r} AS MATERIALIZED (SELECT person_id, y, margin + weight AS margin FROM {last} JOIN w{r} USING (node))")
+        parts.append(
+            f"SELECT {r} AS tree, node, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS edge, CAST(NULL AS DOUBLE) AS gain, "
+            f"{r6('ah', 5)} AS curvature, {r6('weight', 5)} AS weight FROM w{r}"
+        )
+    wanted = " UNION ALL ".join(parts) if rounds else f"SELECT feature, edge, {r6('gain', 5)} AS gain FROM g1_0"
+    return f"{', '.join(steps)} {wanted}"
+
+
 def _mixed_moments() -> str:
     """Observed side of the score equations: sum of y times each term over the complete rows of a model."""
     parts = []
@@ -865,6 +921,8 @@ def model_texts() -> dict[str, str]:
     out["lr_lung"] = sql(_observed_moments(cl.LUNG, lung, "flagged_groups", "true"), "flagged_groups")
     out["cross_validation_moments"] = _fold_moments(lung)
     out["permutation_stated"] = _permutation(lung)
+    out["boosted_first_gains"] = _boosting(lung)
+    out["boosted_trees"] = _boosting(lung, rounds=3)
     death = [*cl.COMORBIDITIES, "sex_privilege", "race_privilege", "age"]
     out["lr_mortality"] = sql(
         _observed_moments(cl.MORTALITY, death, "flagged_groups", "true"), "flagged_groups"
