@@ -4,7 +4,8 @@ Treated units choose in descending order of their score, each the nearest contro
 (of two equally near ones the lower). Units with equal scores are interchangeable, so the choice is made
 between distinct scores with counts. The score axis is cut into ranges that are worked off in parallel;
 a range reports when a choice could have gone past its border, and only then are ranges merged and the
-choice repeated. The result is that of the sequential rule, and the driver sees one row per range.
+choice repeated. Ranges that together pass ``TASK_ROWS`` are not put into one task but worked off in a chain of
+bounded steps. The result is that of the sequential rule, and the driver sees one row per range or step.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from natalis.operators.chained import chained
 from natalis.operators.ordering import RANGE, number_rows, quantile_edges, with_range
 from natalis.sources.store import cut_lineage
 
@@ -25,6 +27,7 @@ _ALLOCATED = (
     "t_from long, c_from long, n long"
 )
 _CHUNK = 65_536
+TASK_ROWS = 1 << 20  # distinct scores that a task holds at most
 
 
 def allocate_range(
@@ -86,15 +89,25 @@ def _merge(starts: list[int], marks: list[tuple[int, bool, bool]], reach: int) -
     return [s for i, s in enumerate(starts) if i not in dropped]
 
 
-def allocate(scores: DataFrame, parts: int | None = None) -> DataFrame:
-    """Pairs between distinct scores for a table (score, n_treated, n_control)."""
+def allocate(scores: DataFrame, parts: int | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Pairs between distinct scores for a table (score, n_treated, n_control).
+
+    Ranges have about a quarter of ``task_rows`` distinct scores or fewer.
+    """
+    least = -(-4 * scores.count() // task_rows)
+    parts = max(parts or int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8 if parts is None else 1, least)
     edges = quantile_edges(scores, ["score"], parts)["score"]
     table = with_range(scores, "score", edges)
-    starts = sorted(r[0] for r in table.select(RANGE).distinct().collect())
+    rows_in = {r[0]: r[1] for r in table.groupBy(RANGE).count().collect()}
+    present = starts = sorted(rows_in)
     reach = 1
     while True:
         numbers = [bisect_right(starts, r) - 1 for r in range(len(edges) + 1)]
         last_segment = len(starts) - 1
+        ranges_of: dict[int, list[int]] = {}
+        for r in present:
+            ranges_of.setdefault(numbers[r], []).append(r)
+        long = [s for s, own in ranges_of.items() if len(own) > 1 and sum(rows_in[r] for r in own) > task_rows]
 
         def choose(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("score")
@@ -112,12 +125,19 @@ def allocate(scores: DataFrame, parts: int | None = None) -> DataFrame:
             return pd.DataFrame(out, columns=[c.split()[0] for c in _ALLOCATED.split(", ")])
 
         segmented = table.withColumn("segment", F.lit(numbers)[F.col(RANGE)]).drop(RANGE)
-        pairs = cut_lineage(segmented.groupBy("segment").applyInPandas(choose, _ALLOCATED))
+        short = segmented.filter(~F.col("segment").isin(long)) if long else segmented
+        pairs = cut_lineage(short.groupBy("segment").applyInPandas(choose, _ALLOCATED))
         marks = pairs.filter(F.col("treated_score").isNull()).select("segment", "open_left", "open_right").collect()
+        marks = [tuple(m) for m in marks]
+        chosen = pairs.filter(F.col("treated_score").isNotNull())
+        chosen = chosen.select("treated_score", "control_score", "t_from", "c_from", "n")
+        for segment in long:
+            own, left, right = chained(table, ranges_of[segment], max(task_rows // 4, 1), segment == 0, segment == last_segment)
+            chosen = chosen.unionByName(own)
+            marks += [(segment, left, right)] if left or right else []
         if not marks:
-            chosen = pairs.filter(F.col("treated_score").isNotNull())
-            return chosen.select("treated_score", "control_score", "t_from", "c_from", "n")
-        starts = _merge(starts, [tuple(m) for m in marks], reach)
+            return chosen
+        starts = _merge(starts, marks, reach)
         reach *= 2
 
 
