@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from natalis import oracle
+from natalis.functions.columns import hash_uniform
 from natalis.operators import balance, boosting, fairness, features, filters, hypothesis, imbalance, matching, metrics, mitigate, mixed, models
 from natalis.plans import chains
 from natalis.plans import clinical as cl
@@ -344,6 +345,14 @@ def match_allocation(spark, base):
     return pairs.groupBy("treated_score", "control_score").agg(F.count("*").alias("n_pairs"))
 
 
+@query
+def match_pairs_stated(spark, base):
+    """Pairs of persons by a fixed continuous score: risk points and a fraction from the person's digest."""
+    table = chains.model_table(_summary(spark, base))
+    table = table.withColumn("distance", _points() + hash_uniform(F.col("person_id")))
+    return rounded(matching.match_pairs(table, "person_id", cl.EXPOSURE))
+
+
 def _matched(spark, base) -> tuple[DataFrame, DataFrame]:
     table = _model_table(spark, base)
     _, scored = models.propensity_scores(table, cl.EXPOSURE, cl.MATCH_COVARIATES)

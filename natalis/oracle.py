@@ -997,6 +997,17 @@ def model_texts() -> dict[str, str]:
         "abs(a.s - t.s) THEN b ELSE a END) AS best) c WHERE len(p.free) > 0) "
         "SELECT ts AS treated_score, cs AS control_score, count(*) AS n_pairs FROM steps WHERE i > 0 GROUP BY 1, 2"
     )
+    out["match_pairs_stated"] = (
+        f"{base}, units AS (SELECT person_id AS id, {cl.EXPOSURE} AS t, {RISK_POINTS} + {hash_uniform('person_id')} AS s FROM modelled), "
+        "treated AS (SELECT id, s, row_number() OVER (ORDER BY s DESC) AS i FROM units WHERE t = 1), "
+        "controls AS (SELECT list({'s': s, 'id': id} ORDER BY s) AS free FROM units WHERE t = 0), "
+        "steps AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS tid, CAST(NULL AS BIGINT) AS cid, CAST(NULL AS DOUBLE) AS ts, "
+        "CAST(NULL AS DOUBLE) AS cs, free FROM controls UNION ALL SELECT t.i, t.id, c.best.id, t.s, c.best.s, "
+        "list_filter(p.free, lambda x: x.id <> c.best.id) FROM steps p "
+        "JOIN treated t ON t.i = p.i + 1, LATERAL (SELECT list_reduce(p.free, lambda a, b: CASE WHEN abs(b.s - t.s) < "
+        "abs(a.s - t.s) THEN b ELSE a END) AS best) c WHERE len(p.free) > 0) "
+        f"SELECT tid AS treated_id, cid AS control_id, {r6('ts')} AS treated_score, {r6('cs')} AS control_score FROM steps WHERE i > 0"
+    )
     matched = f"least(count(*) FILTER ({cl.EXPOSURE} = 1), count(*) FILTER ({cl.EXPOSURE} = 0))"
     sides = {"treated": f"count(*) FILTER ({cl.EXPOSURE} = 1)", "control": f"count(*) FILTER ({cl.EXPOSURE} = 0)"}
     out["match_sizes"] = sql(
