@@ -42,19 +42,22 @@ def _synthetic(rows: DataFrame, features: Sequence[str], by: Sequence[str], k: i
     text = F.array_join(F.transform("x", lambda v: F.round(v * 1_000_000).cast("bigint").cast("string")), "|")
     named = cut_lineage(points.withColumn("_text", text))
     patterns = cut_lineage(number_rows(named, "_text", by=keys, out="pid", seed=seed).drop("_text"))
+    counted = running_totals(patterns.select(*keys, "pid", "m"), "pid", {"start": "m"}, by=keys).join(classes, keys)
+    extra = F.greatest(F.least(F.col("rest") - F.col("start"), F.col("m")), F.lit(0))
+    copies = counted.select(*keys, "pid", "k", (F.col("m") * F.col("each") + extra).alias("copies"))
+    copies = cut_lineage(copies.filter(F.col("copies") > 0))
+    # only patterns that get new points need neighbours
+    asking = patterns.join(copies.select(*keys, "pid", F.lit(True).alias("asked")), [*keys, "pid"], "left")
     other = patterns.select(*keys, F.col("pid").alias("nid"), F.col("m").alias("nm"), F.col("x").alias("nx"))
     upto = F.sum("nm").over(
         Window.partitionBy(*keys, "pid").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    found = nearest(patterns, k, seed=seed, by=keys).join(other, [*keys, "nid"]).withColumn("upto", upto)
+    near = nearest(asking, k, seed=seed, by=keys, asked=F.col("asked"))
+    found = near.join(other, [*keys, "nid"]).withColumn("upto", upto)
     lists = found.groupBy(*keys, "pid").agg(
         F.sort_array(F.collect_list(F.struct("upto", F.col("nx").alias("x")))).alias("near")
     )
     base = patterns.join(lists, [*keys, "pid"], "left")
-
-    counted = running_totals(patterns.select(*keys, "pid", "m"), "pid", {"start": "m"}, by=keys).join(classes, keys)
-    extra = F.greatest(F.least(F.col("rest") - F.col("start"), F.col("m")), F.lit(0))
-    copies = counted.select(*keys, "pid", "k", (F.col("m") * F.col("each") + extra).alias("copies")).filter(F.col("copies") > 0)
     planned = base.join(copies, [*keys, "pid"])
     chunks = planned.withColumn(
         "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(_CHUNK).cast("long")))

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from natalis.operators import neighbours
+from natalis.operators import imbalance, neighbours
 
 
 def brute(x, g, i, k):
@@ -70,3 +70,18 @@ def test_memory_does_not_grow_with_the_points():
     leaves = np.arange(len(region.ends))
     sizes = [sum((region.ends - region.starts)[run]) for run in neighbours._Asking._runs(region, leaves, None, 512)]
     assert sum(sizes) == 20_000 and max(sizes) * 512 <= 2 * neighbours._CELLS
+
+
+def test_smote_asks_only_for_rows_that_get_copies(spark, monkeypatch):
+    asked, nearest = [], imbalance.nearest
+
+    def listening(*args, **names):
+        found = nearest(*args, **names)
+        asked.append({r["pid"] for r in found.select("pid").distinct().collect()})
+        return found
+
+    monkeypatch.setattr(imbalance, "nearest", listening)
+    rows = [(float(i), 1) for i in range(40)] + [(float(i), 0) for i in range(47)]
+    made = imbalance.smote(spark.createDataFrame(rows, "a double, y int"), ["a"], "y")
+    assert made.filter("synthetic").count() == 7
+    assert asked == [set(range(7))]
