@@ -85,3 +85,19 @@ def test_smote_asks_only_for_rows_that_get_copies(spark, monkeypatch):
     made = imbalance.smote(spark.createDataFrame(rows, "a double, y int"), ["a"], "y")
     assert made.filter("synthetic").count() == 7
     assert asked == [set(range(7))]
+
+
+def test_wide_vectors_are_compared_by_products(monkeypatch):
+    """In 64 dimensions boxes exclude nothing; still few pairs get their full distance."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 64)).astype(np.float32).astype(float) * 1e-3 + 5
+    counted, take = [], neighbours._Asking._take
+    monkeypatch.setattr(neighbours._Asking, "_take", lambda self, first, i, *rest: (counted.append(len(i)), take(self, first, i, *rest)))
+    region = region_of(x, np.arange(4000))
+    asking = neighbours._Asking.of(region, np.ones(4000, bool), 5)
+    asking.compare(region, new=False)
+    assert sum(counted) < 4000 * 4000 / 50
+    for i in range(0, 4000, 40):
+        d2 = ((region.x - region.x[i]) ** 2).sum(axis=1)
+        d2[i] = np.inf
+        assert asking.nid[i].tolist() == region.pid[np.lexsort((region.pid, d2))[:5]].tolist()
