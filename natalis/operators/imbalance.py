@@ -28,7 +28,8 @@ def _synthetic(rows: DataFrame, features: Sequence[str], by: Sequence[str], k: i
     keys = [f"_c{i}" for i in range(len(by))]
     vector = F.expr("array(" + ", ".join(f"CAST(`{f}` AS DOUBLE)" for f in features) + ") AS x")
     rows = rows.select(*[F.col(b).alias(c) for b, c in zip(by, keys)], *features)
-    patterns = rows.groupBy(*keys, *features).agg(F.count("*").alias("m"))
+    # counted once: the classes and the points both start from here
+    patterns = cut_lineage(rows.groupBy(*keys, *features).agg(F.count("*").alias("m")))
     classes = cut_lineage(patterns.groupBy(*keys).agg(F.sum("m").alias("n")))
     largest = classes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     classes = classes.filter(F.col("n") < largest).select(

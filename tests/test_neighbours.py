@@ -101,3 +101,19 @@ def test_wide_vectors_are_compared_by_products(monkeypatch):
         d2 = ((region.x - region.x[i]) ** 2).sum(axis=1)
         d2[i] = np.inf
         assert asking.nid[i].tolist() == region.pid[np.lexsort((region.pid, d2))[:5]].tolist()
+
+
+def test_smote_counts_the_patterns_once(spark):
+    """The rows are read once for all new points, not again for the sizes of the classes."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = [(float(i), 1) for i in range(40)] + [(float(i), 0) for i in range(47)]
+    df = spark.createDataFrame(rows, "a double, y int")
+    made = imbalance.smote(df.mapInPandas(counting, df.schema), ["a"], "y")
+    assert made.filter("synthetic").count() == 7
+    assert read.value == len(rows)
